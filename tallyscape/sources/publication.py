@@ -44,7 +44,7 @@ def read_publication_csv(
     ``header_lines`` are the two zero-based header lines.  ``rename`` maps the derived
     column names to others.
     """
-    head = [r.value.lstrip("﻿") for r in spark.read.text(path).head(_HEAD_LINES)]
+    head = [r.value.lstrip("\ufeff") for r in spark.read.text(path).head(_HEAD_LINES)]
     parsed = list(csv.reader(head))
     upper, lower = parsed[header_lines[0]], parsed[header_lines[1]]
     names = [(rename or {}).get(n, n) for n in merge_header(upper, lower)][1:]
