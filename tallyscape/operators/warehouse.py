@@ -126,25 +126,26 @@ def load_facts(
     columns: Sequence[str],
     *,
     entity: str = "entity",
-    period: int | None = None,
+    period: str | int | None = None,
     category_column: str = "column_name",
 ) -> DataFrame:
     """Fill the fact table from a wide table.
 
     ``entities`` has ``entity_id`` and the name column.  ``categories`` has
     ``category_id`` and, in ``category_column``, the wide column each category stands
-    for, so display names and column names may differ.
+    for, so display names and column names may differ.  ``period`` is a column of the
+    wide table, a year, or None for the default.  Ids are joined while there is still
+    one row per entity; unpivoting first would shuffle a row per category as well.
     """
-    long = to_long(wide, entity, columns, category=category_column, measure="measure")
-    keyed = (
-        long.join(categories.select("category_id", category_column), category_column)
-        .join(entities.select("entity_id", entity), entity)
-        .withColumn("period", F.lit(period).cast("int"))
+    year = column(period) if isinstance(period, str) else F.lit(period)
+    keyed = wide.join(entities.select("entity_id", column(entity)), entity).withColumn(
+        "period", F.coalesce(year.cast("int"), F.lit(DEFAULT_PERIOD))
     )
-    year = F.coalesce(F.col("period"), F.lit(DEFAULT_PERIOD))
-    return conform(
-        keyed.withColumn("fact_id", fact_key(F.col("entity_id"), F.col("category_id"), year)), fact_target()
+    long = to_long(keyed, ["entity_id", "period"], columns, category=category_column, measure="measure")
+    facts = long.join(categories.select("category_id", category_column), category_column).withColumn(
+        "fact_id", fact_key(F.col("entity_id"), F.col("category_id"), F.col("period"))
     )
+    return conform(facts, fact_target())
 
 
 def key_violations(facts: DataFrame, dimension_table: DataFrame, key: str) -> DataFrame:
