@@ -101,6 +101,13 @@ def distinct_values(df: DataFrame, name: str) -> DataFrame:
     return df.select(column(name)).distinct()
 
 
+def keep_values(df: DataFrame, name: str, values: Sequence[object] | DataFrame) -> DataFrame:
+    """Rows whose ``name`` is in a short list, or in the same column of another table."""
+    if isinstance(values, DataFrame):
+        return df.join(values.select(column(name)), name, "left_semi")
+    return df.filter(column(name).isin(*values))
+
+
 def keep_first_values(df: DataFrame, name: str, n: int) -> DataFrame:
     """Rows whose ``name`` is among its ``n`` smallest distinct values."""
     first = distinct_values(df.filter(column(name).isNotNull()), name).orderBy(column(name)).limit(n)

@@ -35,7 +35,8 @@ def in_fixed_layout(df: DataFrame, key: str, rows_per_partition: int = ROWS_PER_
 
     KMeans picks its starting centres per partition, so the same table in another layout
     gives other clusters.  With this one the result does not depend on the cluster the
-    job runs on.  The key should be unique.
+    job runs on.  The key should be unique.  Rows are counted first, so hand in a
+    materialised table.
     """
     n = max(1, ceil(df.count() / rows_per_partition))
     return df.repartition(n, column(key)).sortWithinPartitions(column(key))
@@ -72,32 +73,45 @@ def sweep(
     The highest silhouette wins, the smaller k on a tie.  Features are kept in memory
     or on disk between the fits.
     """
-    features = features.persist()
+    vectors = features.select("features").persist()
     try:
         tried = []
         for k in range(2, max_k + 1):
-            run = fit(features, k, seed=seed, max_iter=max_iter)
+            run = fit(vectors, k, seed=seed, max_iter=max_iter)
             tried.append((k, float(run.cost), float(run.silhouette)))
     finally:
-        features.unpersist()
+        vectors.unpersist()
     best = max(tried, key=lambda t: (t[2], -t[0]))[0]
     rows = [(k, cost, silhouette, k == best) for k, cost, silhouette in tried]
     schema = "k int, cost double, silhouette double, best boolean"
     return best, features.sparkSession.createDataFrame(rows, schema)
 
 
-def canonical_ids(df: DataFrame, entity: str, *, cluster: str = "prediction", output: str = "cluster_id") -> DataFrame:
+def canonical_ids(
+    df: DataFrame,
+    entity: str,
+    *,
+    cluster: str = "prediction",
+    output: str = "cluster_id",
+    max_clusters: int = MAX_CLUSTERS,
+) -> DataFrame:
     """Cluster ids 0, 1, ... by size, largest first, then by smallest entity.
 
-    Raw ids depend on the random start; these do not.
+    Raw ids depend on the random start; these do not.  The new ids are looked up in one
+    small map, as a join on the cluster would put each cluster's rows into one task.
     """
     order = Window.orderBy(F.col("_size").desc(), F.col("_first"))
     mapping = (
-        df.groupBy(column(cluster))
+        df.groupBy(column(cluster).alias("_old"))
         .agg(F.count(F.lit(1)).alias("_size"), F.min(column(entity)).alias("_first"))
-        .select(column(cluster), (F.row_number().over(order) - 1).alias(output))
+        .select("_old", (F.row_number().over(order) - 1).alias("_new"))
+    )
+    lookup = _one_value(mapping, ["_old", "_new"], max_clusters)
+    return (
+        df.withColumn("_ids", F.map_from_entries(lookup))
+        .withColumn(output, F.col("_ids")[column(cluster)])
+        .drop("_ids")
     )
-    return df.join(mapping, cluster)
 
 
 # ---- distances to given centres ---------------------------------------------------
@@ -112,9 +126,8 @@ def squared_distance(a: Column, b: Column) -> Column:
 def _one_value(rows: DataFrame, fields: Sequence[str], limit: int) -> Column:
     """A table of one row per cluster as a single array, raising if it is not that small."""
     few = rows.select(F.struct(*fields).alias("c")).limit(limit + 1)
-    packed = F.when(
-        F.count(F.lit(1)) > limit, F.raise_error(F.lit(f"more than {limit} clusters")).cast(few.schema["c"].dataType.simpleString().join(["array<", ">"]))
-    ).otherwise(F.sort_array(F.collect_list("c")))
+    too_many = F.raise_error(F.lit(f"more than {limit} clusters"))
+    packed = F.when(F.count(F.lit(1)) > limit, too_many).otherwise(F.sort_array(F.collect_list("c")))
     return few.agg(packed.alias("c")).scalar()
 
 

@@ -225,9 +225,12 @@ def burden_labels(
 
 
 def bi_export(
-    wide: DataFrame, assignment: DataFrame, columns: Sequence[str], *, entity: str = "entity", cluster: str = "cluster_id"
+    clustered: DataFrame, columns: Sequence[str], *, entity: str = "entity", cluster: str = "cluster_id"
 ) -> DataFrame:
     """One row per entity for dashboards: cluster, measures and their total."""
-    return with_cluster(wide, assignment, entity=entity, cluster=cluster).select(
-        column(entity), column(cluster), *[column(c) for c in columns], row_total(wide, list(columns)).alias("total")
+    return clustered.select(
+        column(entity),
+        column(cluster),
+        *[column(c) for c in columns],
+        row_total(clustered, list(columns)).alias("total"),
     )

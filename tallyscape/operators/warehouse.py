@@ -88,7 +88,7 @@ def conform(df: DataFrame, target: Sequence[TargetColumn]) -> DataFrame:
             default = F.current_timestamp() if t.default is NOW else F.lit(t.default)
             value = F.coalesce(value, default.cast(t.type))
         if t.required:
-            value = F.coalesce(value, F.raise_error(F.lit(f"{t.name} must not be null")).cast(t.type))
+            value = F.coalesce(value, F.raise_error(F.lit(f"{t.name} must not be null")))
         if t.max_length is not None:
             value = F.when(F.length(value) > t.max_length, F.raise_error(F.lit(f"{t.name} is too long"))).otherwise(
                 value
