@@ -52,16 +52,20 @@ def drop_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def _mode_per_column(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Most frequent value of each column; a tie goes to the smaller value.
 
-    Values are counted with map-side combine, so a value held by most rows costs one
-    partial count per task.  The driver receives one row per column.
+    One grouping set per column counts the values of all columns in one pass.  Counts
+    are combined before the shuffle, so a value held by most rows costs each task one
+    partial count.  The driver receives one value per column.
     """
-    modes = {}
-    for name in columns:
-        counts = df.filter(~is_missing(df, name)).groupBy(column(name).alias("value")).count()
-        best = counts.agg(F.min(F.struct(-F.col("count"), F.col("value"))).alias("best")).first()["best"]
-        if best is not None:
-            modes[name] = best["value"]
-    return modes
+    known_only = df.select(*[F.when(~is_missing(df, c), column(c)).alias(f"v{i}") for i, c in enumerate(columns)])
+    values = [F.col(f"v{i}") for i in range(len(columns))]
+    counts = known_only.groupingSets([[v] for v in values], *values).agg(F.count(F.lit(1)).alias("n"))
+    best = counts.agg(
+        *[
+            F.min(F.when(v.isNotNull(), F.struct((-F.col("n")).alias("order"), v.alias("value")))).alias(f"b{i}")
+            for i, v in enumerate(values)
+        ]
+    ).first()
+    return {c: best[f"b{i}"]["value"] for i, c in enumerate(columns) if best[f"b{i}"] is not None}
 
 
 def impute(df: DataFrame, strategy: str, columns: Sequence[str]) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from math import ceil
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -42,27 +41,26 @@ def in_fixed_layout(df: DataFrame, key: str, rows_per_partition: int = ROWS_PER_
     return df.repartition(n, column(key)).sortWithinPartitions(column(key))
 
 
-def prepare(df: DataFrame, key: str, columns: Sequence[str], *, scale: bool = True, **layout: int) -> DataFrame:
-    """Feature vectors in a fixed layout, standardised unless ``scale`` is off."""
-    placed = in_fixed_layout(df, key, **layout)
-    return scaled_features(placed, columns) if scale else assemble(placed, columns)
-
-
-@dataclass
-class Clustering:
-    model: KMeansModel
-    assigned: DataFrame
-    cost: float
-    silhouette: float
+def feature_vectors(df: DataFrame, columns: Sequence[str], *, scale: bool = True) -> DataFrame:
+    """Vectors in a column ``features``, standardised unless ``scale`` is off."""
+    return scaled_features(df, columns) if scale else assemble(df, columns)
 
 
 def fit(
     features: DataFrame, k: int, *, seed: int = SEED, max_iter: int = MAX_ITER, tol: float = TOL
-) -> Clustering:
-    """KMeans on prepared features.  ``assigned`` keeps every input column and adds ``prediction``."""
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol).fit(features)
-    assigned = model.transform(features)
-    return Clustering(model, assigned, model.summary.trainingCost, ClusteringEvaluator().evaluate(assigned))
+) -> KMeansModel:
+    """KMeans on feature vectors; ``model.transform`` adds ``prediction`` to any such table."""
+    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol).fit(features)
+
+
+def training_cost(model: KMeansModel) -> float:
+    """Squared distances of the training rows from their centres, summed."""
+    return model.summary.trainingCost
+
+
+def silhouette_score(assigned: DataFrame) -> float:
+    """Mean silhouette of rows with ``features`` and ``prediction``."""
+    return ClusteringEvaluator().evaluate(assigned)
 
 
 def sweep(
@@ -70,15 +68,15 @@ def sweep(
 ) -> tuple[int, DataFrame]:
     """Try every k from 2 on: the best k, and one row (k, cost, silhouette, best) for each.
 
-    The highest silhouette wins, the smaller k on a tie.  Features are kept in memory
+    The highest silhouette wins, the smaller k on a tie.  The vectors are kept in memory
     or on disk between the fits.
     """
     vectors = features.select("features").persist()
     try:
         tried = []
         for k in range(2, max_k + 1):
-            run = fit(vectors, k, seed=seed, max_iter=max_iter)
-            tried.append((k, float(run.cost), float(run.silhouette)))
+            model = fit(vectors, k, seed=seed, max_iter=max_iter)
+            tried.append((k, float(training_cost(model)), float(silhouette_score(model.transform(vectors)))))
     finally:
         vectors.unpersist()
     best = max(tried, key=lambda t: (t[2], -t[0]))[0]

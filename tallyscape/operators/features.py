@@ -18,10 +18,10 @@ def _with_stats(df: DataFrame, stats: Sequence[Column]) -> DataFrame:
     return df.withColumn(_STATS, df.agg(F.struct(*stats).alias(_STATS)).scalar())
 
 
-def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def standardise(df: DataFrame, columns: Sequence[str], *, suffix: str = "") -> DataFrame:
     """Mean 0 and sample deviation 1; a column of one value becomes 0.
 
-    The table is read twice, so hand in a materialised one if it is costly to compute.
+    With a ``suffix`` the scaled values are added beside the columns.  The table is read twice, so hand in a materialised one if it is costly to compute.
     """
     stats = [F.avg(known(df, c)).alias(f"mean{i}") for i, c in enumerate(columns)] + [
         F.stddev_samp(known(df, c)).alias(f"dev{i}") for i, c in enumerate(columns)
@@ -31,12 +31,12 @@ def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         mean, dev = F.col(_STATS)[f"mean{i}"], F.col(_STATS)[f"dev{i}"]
         flat = F.coalesce(dev, F.lit(0.0)) == 0
         value = known(df, c)
-        scaled[c] = F.when(value.isNotNull() & flat, 0.0).otherwise(F.try_divide(value - mean, dev))
+        scaled[c + suffix] = F.when(value.isNotNull() & flat, 0.0).otherwise(F.try_divide(value - mean, dev))
     return _with_stats(df, stats).withColumns(scaled).drop(_STATS)
 
 
-def minmax_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rescale to 0..1; a column of one value becomes 0."""
+def minmax_scale(df: DataFrame, columns: Sequence[str], *, suffix: str = "") -> DataFrame:
+    """Rescale to 0..1; a column of one value becomes 0.  The table is read twice."""
     stats = [F.min(known(df, c)).alias(f"min{i}") for i, c in enumerate(columns)] + [
         F.max(known(df, c)).alias(f"max{i}") for i, c in enumerate(columns)
     ]
@@ -44,7 +44,7 @@ def minmax_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for i, c in enumerate(columns):
         low, high = F.col(_STATS)[f"min{i}"], F.col(_STATS)[f"max{i}"]
         value = known(df, c)
-        scaled[c] = F.when(value.isNotNull() & (high == low), 0.0).otherwise(
+        scaled[c + suffix] = F.when(value.isNotNull() & (high == low), 0.0).otherwise(
             F.try_divide(value - low, high - low)
         )
     return _with_stats(df, stats).withColumns(scaled).drop(_STATS)

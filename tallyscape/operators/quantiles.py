@@ -1,156 +1,113 @@
 """Exact quantiles over any number of rows.
 
-The built-in ``percentile`` keeps every distinct value of a group in one buffer.  Here
-the sketch behind ``percentile_approx`` only says where to look: it gives a narrow
-bracket around each quantile, one pass counts the rows below and inside the bracket,
-and the ranks inside it are then counted exactly.  A bracket that still holds too many
-distinct values is narrowed again, so what is ordered in one task stays bounded.
+The built-in ``percentile`` keeps every distinct value of a group in one buffer.  Here a
+histogram says which bucket holds the wanted rank, and that bucket alone is split again
+until it holds a single value.  Every pass is one ordinary aggregation with a bounded
+number of groups, combined before the shuffle, so neither the number of rows nor one
+very frequent value matters to any task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil, floor
+from math import ceil, floor, isinf
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tallyscape.functions.columns import known
 
 
-@dataclass
-class _Target:
-    """One (column, probability) with the bracket known to contain its two ranks."""
+@dataclass(frozen=True)
+class _Bracket:
+    """All values of a column from ``low`` to ``high``, with ``below`` rows under them."""
 
-    name: str
-    prob: float
-    rows: int
-    low: float | None = None
-    high: float | None = None
-    below: int = 0
-    inside: int = 0
-    distinct: int = 0
-
-    @property
-    def ranks(self) -> tuple[int, int]:
-        position = self.prob * (self.rows - 1)
-        return floor(position), ceil(position)
+    column: str
+    low: float
+    high: float
+    below: int
 
     @property
     def settled(self) -> bool:
-        """One value fills the whole bracket, as when most rows hold it."""
-        return self.low is not None and self.low == self.high
-
-    def holds(self, value: Column) -> Column:
-        test = value.isNotNull()
-        if self.low is not None:
-            test = test & (value >= self.low)
-        if self.high is not None:
-            test = test & (value <= self.high)
-        return test
-
-
-def _narrow(df: DataFrame, targets: list[_Target], error: float) -> None:
-    """One sketch pass inside the current brackets, then one counting pass."""
-    accuracy = ceil(1 / error)
-    sketches = []
-    for i, t in enumerate(targets):
-        low, high = (r - t.below for r in t.ranks)
-        margin = 2 * error * t.inside + 3
-        probs = [max(0.0, (low - margin) / t.inside), min(1.0, (high + margin) / t.inside)]
-        value = F.when(t.holds(known(df, t.name)), known(df, t.name))
-        sketches.append(F.percentile_approx(value, probs, accuracy).alias(f"t{i}"))
-    found = df.agg(*sketches).first()
-    for i, t in enumerate(targets):
-        t.low, t.high = found[f"t{i}"]
-    _count(df, targets)
+        return self.low == self.high
 
-
-def _count(df: DataFrame, targets: list[_Target]) -> None:
-    counts = []
-    for i, t in enumerate(targets):
-        value = known(df, t.name)
-        held = t.holds(value)
-        below = F.lit(0) if t.low is None else F.count(F.when(value < t.low, 1))
-        counts += [
-            below.alias(f"below{i}"),
-            F.count(F.when(held, 1)).alias(f"inside{i}"),
-            F.approx_count_distinct(F.when(held, value)).alias(f"distinct{i}"),
-        ]
-    row = df.agg(*counts).first()
-    for i, t in enumerate(targets):
-        t.below, t.inside, t.distinct = row[f"below{i}"], row[f"inside{i}"], row[f"distinct{i}"]
-        first, last = t.ranks
-        if not t.below <= first <= last < t.below + t.inside:
-            raise RuntimeError(f"bracket of {t.name} misses its quantile {t.prob}")
+    def bucket(self, value: Column, buckets: int) -> Column:
+        """Number of the equal-width bucket; null outside.  Rises with the value."""
+        scale = 0.5 if isinf(self.high - self.low) else 1.0
+        width = self.high * scale - self.low * scale
+        share = (value * scale - self.low * scale) / width
+        number = F.least(F.floor(share * buckets).cast("int"), F.lit(buckets - 1))
+        return F.when((value >= self.low) & (value <= self.high), number)
 
 
 def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    *,
-    bracket_values: int = 1_000_000,
-    sketch_error: float = 1e-4,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], *, buckets: int = 1024
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation; missing values are left out.
 
-    ``bracket_values`` is the most distinct values that may be put in order by one
-    task.  The driver holds a few numbers per column and probability.
+    The driver receives at most ``buckets`` counts per column and rank in each pass.
+    The passes re-read ``df``, so hand in a stored or materialised table.
     """
     if any(not 0 <= p <= 1 for p in probs):
         raise ValueError("probabilities lie between 0 and 1")
-    total = df.agg(*[F.count(known(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-    targets = [
-        _Target(c, p, total[f"n{i}"], inside=total[f"n{i}"], distinct=total[f"n{i}"])
-        for i, c in enumerate(columns)
-        for p in probs
-        if total[f"n{i}"] > 0
-    ]
-    while wide := [t for t in targets if t.distinct > bracket_values and not t.settled]:
-        before = [t.inside for t in wide]
-        _narrow(df, wide, sketch_error)
-        if before == [t.inside for t in wide]:
-            break
-    for t, pair in zip(targets, _values_at_ranks(df, targets)):
-        position = t.prob * (t.rows - 1)
-        low, high = pair
-        value = low + (high - low) * (position - floor(position)) if high != low else low
-        for j, p in enumerate(probs):
-            if p == t.prob:
-                result[t.name][j] = value
+    ends = df.agg(
+        *[
+            F.struct(F.count(known(df, c)).alias("n"), F.min(known(df, c)).alias("low"), F.max(known(df, c)).alias("high")).alias(f"c{i}")
+            for i, c in enumerate(columns)
+        ]
+    ).first()
+    rows, holding = {}, {}
+    for i, c in enumerate(columns):
+        rows[c], low, high = ends[f"c{i}"]
+        if rows[c] and (isinf(low) or isinf(high)):
+            raise ValueError(f"{c} has infinite values")
+        for p in probs if rows[c] else []:
+            position = p * (rows[c] - 1)
+            for rank in {floor(position), ceil(position)}:
+                holding[c, rank] = _Bracket(c, low, high, 0)
+    while wide := sorted({b for b in holding.values() if not b.settled}, key=lambda b: (b.column, b.low)):
+        parts = _split(df, wide, buckets)
+        for key, bracket in holding.items():
+            if not bracket.settled:
+                holding[key] = next(b for b, last in parts[bracket] if key[1] < last)
+    result: dict[str, list[float | None]] = {}
+    for c in columns:
+        result[c] = []
+        for p in probs:
+            if not rows[c]:
+                result[c].append(None)
+                continue
+            position = p * (rows[c] - 1)
+            low, high = holding[c, floor(position)].low, holding[c, ceil(position)].low
+            result[c].append(low if low == high else low + (high - low) * (position - floor(position)))
     return result
 
 
-def _values_at_ranks(df: DataFrame, targets: list[_Target]) -> list[tuple[float, float]]:
-    """Values at both ranks of each target, by counting the distinct values in its bracket."""
-    if not targets:
-        return []
-    marked = F.array(
+def _split(
+    df: DataFrame, brackets: list[_Bracket], buckets: int
+) -> dict[_Bracket, list[tuple[_Bracket, int]]]:
+    """The non-empty buckets of each bracket in order, each with the rank its rows end before."""
+    entries = F.array(
         *[
             F.struct(
-                F.lit(i).alias("target"),
-                known(df, t.name).alias("value"),
-                t.holds(known(df, t.name)).alias("held"),
+                F.lit(i).alias("bracket"),
+                b.bucket(known(df, b.column), buckets).alias("bucket"),
+                known(df, b.column).alias("value"),
             )
-            for i, t in enumerate(targets)
+            for i, b in enumerate(brackets)
         ]
     )
-    held = df.select(F.explode(F.filter(marked, lambda s: s["held"])).alias("s"))
-    counts = held.groupBy(F.col("s.target").alias("target"), F.col("s.value").alias("value")).count()
-    upto = F.sum("count").over(
-        Window.partitionBy("target").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranks = F.array(*[F.array(*[F.lit(r - t.below) for r in t.ranks]) for t in targets])
-    rows = (
-        counts.withColumn("upto", upto)
-        .withColumn("ranks", F.get(ranks, F.col("target")))
-        .groupBy("target")
-        .agg(*[F.min(F.when(F.col("upto") > F.col("ranks")[j], F.col("value"))).alias(f"v{j}") for j in (0, 1)])
+    counts = (
+        df.select(F.inline(entries))
+        .filter(F.col("bucket").isNotNull())
+        .groupBy("bracket", "bucket")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         .collect()
     )
-    found = {r["target"]: (r["v0"], r["v1"]) for r in rows}
-    return [found[i] for i in range(len(targets))]
+    parts: dict[_Bracket, list[tuple[_Bracket, int]]] = {b: [] for b in brackets}
+    for r in sorted(counts, key=lambda r: (r["bracket"], r["bucket"])):
+        bracket = brackets[r["bracket"]]
+        below = parts[bracket][-1][1] if parts[bracket] else bracket.below
+        parts[bracket].append((_Bracket(bracket.column, r["low"], r["high"], below), below + r["n"]))
+    return parts

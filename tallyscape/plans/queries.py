@@ -309,12 +309,14 @@ def avg_by_category_period(t: Retail) -> DataFrame:
 
 @query
 def top5_latest_period(t: Retail) -> DataFrame:
+    t = t.with_stored_facts()
     return reports.top_entities_in_latest_period(t.facts, t.entities, t.categories, "PROMO")
 
 
 @query
 def sql_top5_latest_period(t: Retail) -> DataFrame:
     """The same report as SQL text, with the category as a bound value."""
+    t = t.with_stored_facts()
     return read_query(
         t.spark,
         """
@@ -361,11 +363,13 @@ def assignment_by_name(t: Retail) -> DataFrame:
 
 @query
 def category_totals_in_cluster(t: Retail) -> DataFrame:
+    t = t.with_stored_facts()
     return reports.category_totals_in_cluster(t.facts, t.entities, t.categories, t.assignment, 0)
 
 
 @query
 def entity_cluster_report(t: Retail) -> DataFrame:
+    t = t.with_stored_facts()
     small = t.facts.filter(F.col("measure") > 100)
     return reports.entity_cluster_report(t.assignment, t.entities, small)
 
@@ -479,13 +483,13 @@ def silhouette(t: Retail) -> DataFrame:
 
 @query
 def silhouette_by_cluster(t: Retail) -> DataFrame:
-    scored = cluster.silhouettes(t.nearest, t.measures, "cluster_id")
+    scored = cluster.silhouettes(t.nearest, t.scaled_measures, "cluster_id")
     return rounded(scored.groupBy("cluster_id").agg(F.avg("silhouette").alias("silhouette")))
 
 
 @query
 def silhouette_gate(t: Retail) -> DataFrame:
-    return rounded(cluster.silhouette_gate(cluster.silhouettes(t.nearest, t.measures, "cluster_id")))
+    return rounded(cluster.silhouette_gate(cluster.silhouettes(t.nearest, t.scaled_measures, "cluster_id")))
 
 
 @query
@@ -501,7 +505,8 @@ def kmeans_raw(t: Retail) -> DataFrame:
 
 @query
 def k_sweep(t: Retail) -> DataFrame:
-    _, tried = cluster.sweep(cluster.prepare(t.wide, "entity_id", t.measures))
+    placed = cluster.in_fixed_layout(t.wide, "entity_id")
+    _, tried = cluster.sweep(cluster.feature_vectors(placed, t.measures))
     return rounded(tried)
 
 

@@ -26,6 +26,7 @@ class Retail:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self.stored = False
 
     def table(self, name: str) -> DataFrame:
         return read_parquet(self.spark, f"{self.folder}/{name}.parquet")
@@ -96,27 +97,51 @@ class Retail:
             .withColumn("fact_id", keys.fact_key(F.col("entity_id"), F.col("category_id"), F.col("period")))
         )
 
+    def with_stored_facts(self) -> Retail:
+        """Load the fact table first, for reports that read it more than once.
+
+        The wide table is then pivoted from it, so the order lines are joined once.
+        """
+        loaded = Retail(self.spark, self.folder)
+        loaded.categories = self.categories
+        loaded.facts = materialise(self.facts, "facts")
+        loaded.long = loaded.facts.join(self.categories, "category_id").select(
+            "entity_id", "category", "period", "measure"
+        )
+        loaded.stored = True
+        return loaded
+
     # ---- wide table and clusters -------------------------------------------------
 
-    def wide_plan(self) -> DataFrame:
-        sales = self._sales(self.table("part").select("p_partkey", F.col("p_type").alias("category")))
-        wide = reshape.to_wide(sales, "entity_id", "category", "quantity", values=self.category_names)
+    def _widen(self, rows: DataFrame, measure: str) -> DataFrame:
+        wide = reshape.to_wide(rows, "entity_id", "category", measure, values=self.category_names)
         return reshape.rename(wide, dict(zip(self.category_names, self.measures)))
 
+    def wide_plan(self) -> DataFrame:
+        if self.stored:
+            return self._widen(self.long, "measure")
+        parts = self.table("part").select("p_partkey", F.col("p_type").alias("category"))
+        return self._widen(self._sales(parts), "quantity")
+
     @cached_property
     def wide(self) -> DataFrame:
         """One row per customer, written once because scaling and clustering read it often."""
         return materialise(self.wide_plan(), "wide")
 
+    @property
+    def scaled_measures(self) -> list[str]:
+        return [f"{c}_z" for c in self.measures]
+
     @cached_property
     def scaled(self) -> DataFrame:
-        return features.standardise(self.wide, self.measures)
+        """Wide table with the standardised measures beside the plain ones."""
+        return features.standardise(self.wide, self.measures, suffix="_z")
 
     @cached_property
     def centres(self) -> DataFrame:
         """The mean scaled profile of each market segment, numbered from 0 in name order."""
         segments = self.table("customer").select(F.col("c_custkey").alias("entity_id"), "c_mktsegment")
-        means = cluster.moments(self.scaled.join(segments, "entity_id"), self.measures, "c_mktsegment")
+        means = cluster.moments(self.scaled.join(segments, "entity_id"), self.scaled_measures, "c_mktsegment")
         # one row per segment is left
         number = F.row_number().over(Window.orderBy("cluster_id")) - 1
         return means.select(number.alias("cluster_id"), "centre")
@@ -124,17 +149,14 @@ class Retail:
     @cached_property
     def nearest(self) -> DataFrame:
         """Scaled wide table with the nearest segment profile of every customer."""
-        return cluster.nearest_centre(self.scaled, features.as_array(self.measures), self.centres)
-
-    @cached_property
-    def assignment(self) -> DataFrame:
-        """(entity, cluster_id), by customer name."""
-        return self.nearest.select("entity_id", "cluster_id").join(self.entities, "entity_id").select(
-            "entity", "cluster_id"
-        )
+        return cluster.nearest_centre(self.scaled, features.as_array(self.scaled_measures), self.centres)
 
     @cached_property
     def clustered(self) -> DataFrame:
         """Wide table by customer name with the assigned cluster."""
-        named = self.wide.join(self.entities, "entity_id").select("entity", *self.measures)
-        return named.join(self.assignment, "entity")
+        return self.nearest.join(self.entities, "entity_id").select("entity", *self.measures, "cluster_id")
+
+    @property
+    def assignment(self) -> DataFrame:
+        """(entity, cluster_id), by customer name."""
+        return self.clustered.select("entity", "cluster_id")

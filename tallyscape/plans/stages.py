@@ -76,13 +76,25 @@ def cluster(
     columns = measure_columns(wide, entity)
     if seed is None:
         seed = kmeans.SEED if scale else kmeans.RAW_SEED
-    prepared = kmeans.prepare(wide, entity, columns, scale=scale, rows_per_partition=rows_per_partition)
-    tried = None
-    if k == "auto":
-        k, tried = kmeans.sweep(prepared, max_k, seed=seed)
-    run = kmeans.fit(prepared, int(k), seed=seed, max_iter=max_iter)
-    assigned = kmeans.canonical_ids(run.assigned, entity)
-    return Run(entity, columns, int(k), run.cost, run.silhouette, assigned, tried)
+    placed = kmeans.in_fixed_layout(wide, entity, rows_per_partition).persist()
+    try:
+        vectors = kmeans.feature_vectors(placed, columns, scale=scale)
+        tried = None
+        if k == "auto":
+            k, tried = kmeans.sweep(vectors, max_k, seed=seed)
+        model = kmeans.fit(vectors, int(k), seed=seed, max_iter=max_iter)
+        done = materialise(model.transform(vectors), "clustered")
+    finally:
+        placed.unpersist()
+    return Run(
+        entity,
+        columns,
+        int(k),
+        kmeans.training_cost(model),
+        kmeans.silhouette_score(done),
+        kmeans.canonical_ids(done, entity),
+        tried,
+    )
 
 
 def run_summary(run: Run) -> DataFrame:
@@ -103,7 +115,7 @@ def export(run: Run, folder: str, *, listed: Sequence[str] | None = None) -> Non
 
     ``listed`` are the measures of the short assignment listing, all by default.
     """
-    done = materialise(run.assigned.select(run.entity, "cluster_id", *run.columns), "assigned")
+    done = run.assigned.select(run.entity, "cluster_id", *run.columns)
     assignment = done.select(run.entity, "cluster_id")
     write_csv(reports.cluster_sizes(assignment), f"{folder}/cluster_sizes")
     write_csv(reshape.members_in_order(assignment, "cluster_id", run.entity), f"{folder}/assignment")
