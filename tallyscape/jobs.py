@@ -1,11 +1,11 @@
 """One ``spark-submit`` entry point per stage.
 
-    spark-submit -m tallyscape.jobs ...   or   python -m tallyscape.jobs ...
+    spark-submit --py-files tallyscape.zip tallyscape/jobs.py <stage> <options>
 
     ingest    --input wide.csv --output clean --entity name --reject Total
     transform --input clean --output filled --entity name
     widen     --input long --output wide --entity name --category kind --measure cases
-    cluster   --input filled --output clustered --entity name --k 4 --export folder
+    cluster   --input filled --output clustered --entity name --k 4 --export folder --warehouse folder
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     cluster.add_argument("--k", default="4", help="a number or auto")
     cluster.add_argument("--raw", action="store_true", help="do not standardise")
     cluster.add_argument("--export", help="folder for the CSV and JSON outputs")
+    cluster.add_argument("--warehouse", help="folder for the star-schema tables")
+    cluster.add_argument("--period", type=int, help="period of the facts")
     return parser.parse_args(argv)
 
 
@@ -65,6 +67,9 @@ def main(argv: list[str] | None = None) -> None:
         out = run.assigned
         if args.export:
             stages.export(run, args.export)
+        if args.warehouse:
+            for name, table in stages.warehouse_tables(run, period=args.period).items():
+                write_parquet(table, f"{args.warehouse}/{name}")
     write_parquet(out, args.output)
 
 

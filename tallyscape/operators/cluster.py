@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from math import ceil
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -121,6 +121,11 @@ def squared_distance(a: Column, b: Column) -> Column:
     )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _one_value(rows: DataFrame, fields: Sequence[str], limit: int) -> Column:
     """A table of one row per cluster as a single array, raising if it is not that small."""
     few = rows.select(F.struct(*fields).alias("c")).limit(limit + 1)
@@ -143,19 +148,20 @@ def nearest_centre(
     as one value of at most ``max_clusters`` entries; a larger table raises.
     """
     table = _one_value(centres, ["cluster_id", "centre"], max_clusters)
-    nearest = F.array_min(
-        F.transform(
-            F.col("_centres"),
-            lambda c: F.struct(squared_distance(F.col("_x"), c["centre"]).alias("d"), c["cluster_id"].alias("id")),
-        )
+    nearest = _once(
+        features,
+        lambda x: F.array_min(
+            F.transform(
+                F.col("_table"),
+                lambda c: F.struct(squared_distance(x, c["centre"]).alias("d"), c["cluster_id"].alias("id")),
+            )
+        ),
     )
     return (
-        df.withColumn("_x", features)
-        .withColumn("_centres", table)
+        df.withColumn("_table", table)
         .withColumn("_nearest", nearest)
-        .withColumn(cluster, F.col("_nearest.id"))
-        .withColumn("distance", F.col("_nearest.d"))
-        .drop("_x", "_centres", "_nearest")
+        .withColumns({cluster: F.col("_nearest.id"), "distance": F.col("_nearest.d")})
+        .drop("_table", "_nearest")
     )
 
 
@@ -217,29 +223,29 @@ def silhouettes(
     table = _one_value(
         moments(df, features, cluster), ["cluster_id", "size", "centre", "spread"], max_clusters
     )
-    per_cluster = F.transform(
-        F.col("_moments"),
-        lambda m: F.struct(
-            (m["cluster_id"] == F.col("_own")).alias("own"),
-            m["size"].alias("size"),
-            (squared_distance(F.col("_x"), m["centre"]) + m["spread"]).alias("d"),
+    distances = _once(
+        x,
+        lambda v: F.transform(
+            F.col("_table"),
+            lambda m: F.struct(
+                (m["cluster_id"] == column(cluster)).alias("own"),
+                m["size"].alias("size"),
+                (squared_distance(v, m["centre"]) + m["spread"]).alias("d"),
+            ),
         ),
     )
     mine = F.filter(F.col("_distances"), lambda m: m["own"])[0]
     others = F.transform(F.filter(F.col("_distances"), lambda m: ~m["own"]), lambda m: m["d"])
-    a, b = F.col("_a"), F.col("_b")
-    score = F.when((F.col("_mine.size") == 1) | (a == b), 0.0).otherwise((b - a) / F.greatest(a, b))
-    helpers = ["_x", "_own", "_moments", "_distances", "_mine", "_a", "_b"]
+    size, a, b = F.col("_mine.size"), F.col("_a"), F.col("_b")
+    score = F.when((size == 1) | (a == b), 0.0).otherwise((b - a) / F.greatest(a, b))
     return (
-        df.withColumn("_x", x)
-        .withColumn("_own", column(cluster))
-        .withColumn("_moments", table)
-        .withColumn("_distances", per_cluster)
-        .withColumn("_mine", mine)
-        .withColumn("_a", F.try_divide(F.col("_mine.d") * F.col("_mine.size"), F.col("_mine.size") - 1))
-        .withColumn("_b", F.array_min(others))
+        df.withColumn("_table", table)
+        .withColumn("_distances", distances)
+        .withColumns({"_mine": mine, "_b": F.array_min(others)})
+        # the row itself is at distance 0 from the cluster it is averaged over
+        .withColumn("_a", F.try_divide(F.col("_mine.d") * size, size - 1))
         .withColumn(output, score)
-        .drop(*helpers)
+        .drop("_table", "_distances", "_mine", "_a", "_b")
     )
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from tallyscape.functions.columns import column, quoted, row_total
 
+CONDITIONAL_SUMS = 48
+
 
 def category_values(categories: DataFrame, name: str) -> list[str]:
     """The distinct categories in order, for use as pivot columns.
@@ -38,12 +40,18 @@ def to_wide(
     """One row per entity, one summed column per category, gaps filled.
 
     With ``values`` no extra job is needed to find the categories and the column order
-    is fixed.  The sum per (entity, category) is taken before the shuffle.
+    is fixed.  Up to ``CONDITIONAL_SUMS`` categories each become a conditional sum: one
+    shuffle, on rows already combined per entity.  Beyond that testing every row against
+    every category costs more than the second shuffle of a pivot.
     """
     whole = isinstance(df.schema[measure].dataType, T.IntegralType)
     amount = column(measure).cast("long" if whole else "double")
     found = list(values) if values is not None else category_values(df, category)
-    wide = df.groupBy(column(entity)).pivot(quoted(category), found).agg(F.sum(amount))
+    if len(found) <= CONDITIONAL_SUMS:
+        sums = [F.sum(F.when(column(category) == v, amount)).alias(v) for v in found]
+        wide = df.groupBy(column(entity)).agg(*sums)
+    else:
+        wide = df.groupBy(column(entity)).pivot(quoted(category), found).agg(F.sum(amount))
     return wide if fill is None else wide.fillna(fill, subset=found)
 
 

@@ -37,9 +37,6 @@ def entity_target(key: str = "entity_id", name: str = "entity") -> list[TargetCo
     ]
 
 
-category_target = entity_target
-
-
 def fact_target(
     key: str = "fact_id",
     entity_id: str = "entity_id",

@@ -376,7 +376,7 @@ def entity_cluster_report(t: Retail) -> DataFrame:
 
 @query
 def wide_by_cluster(t: Retail) -> DataFrame:
-    return t.clustered.orderBy("cluster_id", "entity")
+    return reports.with_cluster(t.named_wide, t.assignment).orderBy("cluster_id", "entity")
 
 
 @query

@@ -27,9 +27,13 @@ class Retail:
         self.spark = spark
         self.folder = folder
         self.stored = False
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, f"{self.folder}/{name}.parquet")
+        """A given table; its schema is looked up once."""
+        if name not in self._tables:
+            self._tables[name] = read_parquet(self.spark, f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # ---- dimensions ------------------------------------------------------------
 
@@ -108,7 +112,7 @@ class Retail:
         loaded.long = loaded.facts.join(self.categories, "category_id").select(
             "entity_id", "category", "period", "measure"
         )
-        loaded.stored = True
+        loaded.stored, loaded._tables = True, self._tables
         return loaded
 
     # ---- wide table and clusters -------------------------------------------------
@@ -151,6 +155,11 @@ class Retail:
         """Scaled wide table with the nearest segment profile of every customer."""
         return cluster.nearest_centre(self.scaled, features.as_array(self.scaled_measures), self.centres)
 
+    @cached_property
+    def named_wide(self) -> DataFrame:
+        """Wide table by customer name."""
+        return self.wide.join(self.entities, "entity_id").select("entity", *self.measures)
+
     @cached_property
     def clustered(self) -> DataFrame:
         """Wide table by customer name with the assigned cluster."""

@@ -6,14 +6,14 @@ long route: ``widen`` -> ``cluster(scale=False)``
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyscape.functions.columns import measure_columns
-from tallyscape.operators import clean, cluster as kmeans, features, reports, reshape
+from tallyscape.operators import clean, cluster as kmeans, features, reports, reshape, warehouse
 from tallyscape.session import materialise
 from tallyscape.sinks.files import write_csv, write_json
 
@@ -110,6 +110,30 @@ def run_summary(run: Run) -> DataFrame:
     )
 
 
+def warehouse_tables(
+    run: Run, *, labels: Mapping[str, str] | None = None, period: int | None = None
+) -> dict[str, DataFrame]:
+    """The five tables of the star, typed and with defaults, ready for any writer.
+
+    ``labels`` are the display names of the measure columns.  Entities are numbered in
+    name order and categories in column order, so a rerun gives the same keys.
+    """
+    done = run.assigned.select(F.col(run.entity).alias("entity"), "cluster_id", *run.columns)
+    entities = warehouse.dimension(done, "entity", key="entity_id")
+    named = [(i, (labels or {}).get(c, c), c) for i, c in enumerate(run.columns, start=1)]
+    categories = done.sparkSession.createDataFrame(
+        named, "category_id long, category string, column_name string"
+    )
+    keyed = done.join(entities.withColumnRenamed("entity_id", "id"), "entity")
+    return {
+        "entity": warehouse.conform(entities, warehouse.entity_target()),
+        "category": warehouse.conform(categories, warehouse.entity_target("category_id", "category")),
+        "fact": warehouse.load_facts(done, entities, categories, run.columns, period=period),
+        "assignment": warehouse.conform(keyed, warehouse.assignment_target()),
+        "wide": warehouse.conform(keyed, warehouse.wide_target(run.columns)),
+    }
+
+
 def export(run: Run, folder: str, *, listed: Sequence[str] | None = None) -> None:
     """Write every output of a run below ``folder``; a rerun overwrites them.
 

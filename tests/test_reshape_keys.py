@@ -9,7 +9,9 @@ from tallyscape.operators import keys, reshape, warehouse
 LONG = [("b", "x", 1), ("b", "y", 2), ("a", "x", 3), ("a", "x", 4), ("c", "z", 5)]
 
 
-def test_pivot_sums_and_fills(spark):
+@pytest.mark.parametrize("conditional", [0, 48])
+def test_pivot_sums_and_fills(spark, monkeypatch, conditional):
+    monkeypatch.setattr(reshape, "CONDITIONAL_SUMS", conditional)
     df = spark.createDataFrame(LONG, "e string, `Jenis Kasus` string, `Jumlah Kasus` int")
     wide = reshape.to_wide(df, "e", "Jenis Kasus", "Jumlah Kasus")
     assert wide.columns == ["e", "x", "y", "z"]

@@ -15,8 +15,11 @@ from helpers import bag, rows
 from pyspark.sql import functions as F
 
 from tallyscape import jobs
-from tallyscape.operators import cluster, quality, reshape
+from tallyscape.operators import cluster, quality, reports, reshape
 from tallyscape.plans import stages
+from tallyscape.sinks.files import write_csv
+from tallyscape.sources.files import read_inferred_csv
+from tallyscape.sources.tables import read_query
 
 ENTITY = "kabupaten_kota"
 
@@ -119,14 +122,41 @@ def test_export_twice_gives_the_same_files(spark, run, tmp_path):
     assert [s["members"] for s in summary["sizes"]] == [24, 7, 1, 1]
 
 
+def test_star_and_its_reports(spark, run, tmp_path):
+    labels = {"dbd": "DBD", "diare": "Diare"}
+    star = stages.warehouse_tables(run, labels=labels, period=2020)
+    assert {n: t.count() for n, t in star.items()} == {
+        "entity": 33, "category": 12, "fact": 396, "assignment": 33, "wide": 33
+    }
+    assert all("created_at" in star[n].columns for n in ("fact", "assignment", "wide"))
+    assert star["fact"].select("fact_id").distinct().count() == 396
+    entities, categories, facts, assignment = (star[n] for n in ("entity", "category", "fact", "assignment"))
+    top = reports.top_entities_in_latest_period(facts, entities, categories, "DBD")
+    assert rows(top)[:2] == [("Deli Serdang", 803), ("M e d a n", 652)]
+    totals = dict(rows(reports.category_totals_in_cluster(facts, entities, categories, assignment, 0)))
+    assert "kusta" not in totals and totals["Diare"] > totals["DBD"] > 0
+    report = reports.entity_cluster_report(assignment, entities, facts)
+    write_csv(report, f"{tmp_path}/report")
+    back = read_inferred_csv(spark, f"{tmp_path}/report")
+    assert bag(back) == bag(report) and {r["facts"] for r in back.collect()} == {12}
+    counts = read_query(
+        spark,
+        "SELECT cluster_id, count(DISTINCT entity) AS n FROM {a} WHERE cluster_id >= :low GROUP BY cluster_id",
+        args={"low": 2},
+        a=assignment,
+    )
+    assert bag(counts) == [(2, 1), (3, 1)]
+
+
 def test_jobs_from_csv_to_outputs(spark, tmp_path):
     source = tmp_path / "wide.csv"
     lines = [",".join(["name", *MEASURES])] + [",".join(map(str, d)) for d in DISTRICTS]
     source.write_text("\n".join(lines))
-    at = {n: str(tmp_path / n) for n in ("clean", "filled", "clustered", "out")}
+    at = {n: str(tmp_path / n) for n in ("clean", "filled", "clustered", "out", "star")}
     jobs.main(["ingest", "--input", str(source), "--output", at["clean"], "--entity", "name", "--reject", "Kota"])
     jobs.main(["transform", "--input", at["clean"], "--output", at["filled"], "--entity", "name"])
-    jobs.main(["cluster", "--input", at["filled"], "--output", at["clustered"], "--entity", "name", "--export", at["out"]])
+    jobs.main(["cluster", "--input", at["filled"], "--output", at["clustered"], "--entity", "name", "--export", at["out"], "--warehouse", at["star"]])
+    assert spark.read.parquet(f"{at['star']}/fact").count() == 33 * len(MEASURES)
     done = spark.read.parquet(at["clustered"])
     assert quality.row_count(done).first()["rows"] == 33
     assert {"features_raw", "features", "prediction", "cluster_id"} <= set(done.columns)
