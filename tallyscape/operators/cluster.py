@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from math import ceil
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -64,19 +66,28 @@ def silhouette_score(assigned: DataFrame) -> float:
 
 
 def sweep(
-    features: DataFrame, max_k: int = 8, *, seed: int = SEED, max_iter: int = SWEEP_MAX_ITER
+    features: DataFrame,
+    max_k: int = 8,
+    *,
+    seed: int = SEED,
+    max_iter: int = SWEEP_MAX_ITER,
+    parallelism: int = 4,
 ) -> tuple[int, DataFrame]:
     """Try every k from 2 on: the best k, and one row (k, cost, silhouette, best) for each.
 
     The highest silhouette wins, the smaller k on a tie.  The vectors are kept in memory
-    or on disk between the fits.
+    or on disk between the fits, of which ``parallelism`` run side by side.
     """
     vectors = features.select("features").persist()
+
+    def attempt(k: int) -> tuple[int, float, float]:
+        model = fit(vectors, k, seed=seed, max_iter=max_iter)
+        return k, float(training_cost(model)), float(silhouette_score(model.transform(vectors)))
+
     try:
-        tried = []
-        for k in range(2, max_k + 1):
-            model = fit(vectors, k, seed=seed, max_iter=max_iter)
-            tried.append((k, float(training_cost(model)), float(silhouette_score(model.transform(vectors)))))
+        vectors.count()
+        with ThreadPool(parallelism) as pool:
+            tried = pool.map(inheritable_thread_target(features.sparkSession)(attempt), range(2, max_k + 1), 1)
     finally:
         vectors.unpersist()
     best = max(tried, key=lambda t: (t[2], -t[0]))[0]
