@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +44,12 @@ def known(df: DataFrame, name: str) -> Column:
     return F.when(~is_missing(df, name), column(name).cast("double"))
 
 
+def known_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The columns as ``known`` doubles named v0, v1, ..., computed once for all later uses."""
+    values = [known(df, c).alias(f"v{i}") for i, c in enumerate(columns)]
+    return df.select(*[column(k) for k in keep], *values)
+
+
 def row_total(df: DataFrame, columns: list[str]) -> Column:
     """Row-wise sum; whole numbers add up as long so that no int can overflow."""
     if not columns:

@@ -16,14 +16,14 @@ from math import ceil, floor, isinf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyscape.functions.columns import known
+from tallyscape.functions.columns import known_values
 
 
 @dataclass(frozen=True)
 class _Bracket:
-    """All values of a column from ``low`` to ``high``, with ``below`` rows under them."""
+    """All values of a column, by its number, from ``low`` to ``high``, with ``below`` rows under them."""
 
-    column: str
+    column: int
     low: float
     high: float
     below: int
@@ -51,55 +51,47 @@ def quantiles(
     """
     if any(not 0 <= p <= 1 for p in probs):
         raise ValueError("probabilities lie between 0 and 1")
-    ends = df.agg(
-        *[
-            F.struct(F.count(known(df, c)).alias("n"), F.min(known(df, c)).alias("low"), F.max(known(df, c)).alias("high")).alias(f"c{i}")
-            for i, c in enumerate(columns)
-        ]
+    values = known_values(df, columns)
+    ends = values.agg(
+        *[f(f"v{i}").alias(f"{n}{i}") for i in range(len(columns)) for n, f in (("n", F.count), ("low", F.min), ("high", F.max))]
     ).first()
-    rows, holding = {}, {}
+    holding: dict[tuple[int, int], _Bracket] = {}
     for i, c in enumerate(columns):
-        rows[c], low, high = ends[f"c{i}"]
-        if rows[c] and (isinf(low) or isinf(high)):
+        rows, low, high = ends[f"n{i}"], ends[f"low{i}"], ends[f"high{i}"]
+        if rows and (isinf(low) or isinf(high)):
             raise ValueError(f"{c} has infinite values")
-        for p in probs if rows[c] else []:
-            position = p * (rows[c] - 1)
-            for rank in {floor(position), ceil(position)}:
-                holding[c, rank] = _Bracket(c, low, high, 0)
+        for position in [p * (rows - 1) for p in probs if rows]:
+            for rank in (floor(position), ceil(position)):
+                holding[i, rank] = _Bracket(i, low, high, 0)
     while wide := sorted({b for b in holding.values() if not b.settled}, key=lambda b: (b.column, b.low)):
-        parts = _split(df, wide, buckets)
+        parts = _split(values, wide, buckets)
         for key, bracket in holding.items():
             if not bracket.settled:
-                holding[key] = next(b for b, last in parts[bracket] if key[1] < last)
-    result: dict[str, list[float | None]] = {}
-    for c in columns:
-        result[c] = []
-        for p in probs:
-            if not rows[c]:
-                result[c].append(None)
-                continue
-            position = p * (rows[c] - 1)
-            low, high = holding[c, floor(position)].low, holding[c, ceil(position)].low
-            result[c].append(low if low == high else low + (high - low) * (position - floor(position)))
+                holding[key] = next(part for part, end in parts[bracket] if key[1] < end)
+    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+    for i, c in enumerate(columns):
+        for j, position in enumerate(p * (ends[f"n{i}"] - 1) for p in probs if ends[f"n{i}"]):
+            low, high = holding[i, floor(position)].low, holding[i, ceil(position)].low
+            result[c][j] = low if low == high else low + (high - low) * (position - floor(position))
     return result
 
 
 def _split(
-    df: DataFrame, brackets: list[_Bracket], buckets: int
+    values: DataFrame, brackets: list[_Bracket], buckets: int
 ) -> dict[_Bracket, list[tuple[_Bracket, int]]]:
     """The non-empty buckets of each bracket in order, each with the rank its rows end before."""
     entries = F.array(
         *[
             F.struct(
                 F.lit(i).alias("bracket"),
-                b.bucket(known(df, b.column), buckets).alias("bucket"),
-                known(df, b.column).alias("value"),
+                b.bucket(F.col(f"v{b.column}"), buckets).alias("bucket"),
+                F.col(f"v{b.column}").alias("value"),
             )
             for i, b in enumerate(brackets)
         ]
     )
     counts = (
-        df.select(F.inline(entries))
+        values.select(F.inline(entries))
         .filter(F.col("bucket").isNotNull())
         .groupBy("bracket", "bucket")
         .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))

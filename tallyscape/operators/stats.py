@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyscape.functions.columns import known
+from tallyscape.functions.columns import known, known_values
 from tallyscape.operators.quality import _per_column
 from tallyscape.operators.quantiles import quantiles
 
@@ -32,16 +32,17 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         label: {c: F.any_value(F.lit(quartiles[c][i]).cast("double")) for c in columns}
         for i, label in enumerate(["q25", "q50", "q75"])
     }
+    value = {c: F.col(f"v{i}") for i, c in enumerate(columns)}
     return _per_column(
-        df,
+        known_values(df, columns),
         columns,
         {
-            "count": {c: F.count(known(df, c)) for c in columns},
-            "mean": {c: F.avg(known(df, c)) for c in columns},
-            "std": {c: F.stddev_samp(known(df, c)) for c in columns},
-            "min": {c: F.min(known(df, c)) for c in columns},
+            "count": {c: F.count(v) for c, v in value.items()},
+            "mean": {c: F.avg(v) for c, v in value.items()},
+            "std": {c: F.stddev_samp(v) for c, v in value.items()},
+            "min": {c: F.min(v) for c, v in value.items()},
             **per_quartile,
-            "max": {c: F.max(known(df, c)) for c in columns},
+            "max": {c: F.max(v) for c, v in value.items()},
         },
     )
 
@@ -52,8 +53,8 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     One pass for all pairs.  A column of one value has no correlation: null.
     """
     rows = []
-    for a, b in combinations(columns, 2):
-        x, y = known(df, a), known(df, b)
+    for (i, a), (j, b) in combinations(enumerate(columns), 2):
+        x, y = F.col(f"v{i}"), F.col(f"v{j}")
         both = x.isNotNull() & y.isNotNull()
         spread = F.stddev_samp(F.when(both, x)) * F.stddev_samp(F.when(both, y))
         rows.append(
@@ -63,4 +64,4 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.try_divide(F.covar_samp(x, y), spread).alias("correlation"),
             )
         )
-    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    return known_values(df, columns).agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
