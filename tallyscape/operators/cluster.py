@@ -18,7 +18,8 @@ from pyspark.sql.window import Window
 from tallyscape.functions.columns import column
 from tallyscape.operators.features import assemble, scaled_features
 
-ROWS_PER_PARTITION = 500_000
+ROWS_PER_PARTITION = 50_000
+MAX_PARTITIONS = 10_000
 MAX_CLUSTERS = 10_000
 
 # The training settings results are compared under.
@@ -39,7 +40,7 @@ def in_fixed_layout(df: DataFrame, key: str, rows_per_partition: int = ROWS_PER_
     job runs on.  The key should be unique.  Rows are counted first, so hand in a
     materialised table.
     """
-    n = max(1, ceil(df.count() / rows_per_partition))
+    n = min(max(1, ceil(df.count() / rows_per_partition)), MAX_PARTITIONS)
     return df.repartition(n, column(key)).sortWithinPartitions(column(key))
 
 

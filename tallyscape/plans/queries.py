@@ -285,21 +285,22 @@ def default_value(t: Retail) -> DataFrame:
 
 
 # ---- reports over the long table ------------------------------------------------------------
+# Totals are the same over order lines as over the long table, and need one shuffle less.
 
 
 @query
 def sum_by_period(t: Retail) -> DataFrame:
-    return reports.total_by(t.long, "period", "measure")
+    return reports.total_by(t.lines, "period", "quantity")
 
 
 @query
 def sum_by_category(t: Retail) -> DataFrame:
-    return reshape.top_by(reports.total_by(t.long, "category", "measure"), "total", "category", 10)
+    return reshape.top_by(reports.total_by(t.lines, "category", "quantity"), "total", "category", 10)
 
 
 @query
 def sum_by_entity(t: Retail) -> DataFrame:
-    return reshape.top_by(reports.total_by(t.long, "entity_id", "measure"), "total", "entity_id", 10)
+    return reshape.top_by(reports.total_by(t.lines, "entity_id", "quantity"), "total", "entity_id", 10)
 
 
 @query

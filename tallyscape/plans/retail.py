@@ -76,14 +76,16 @@ class Retail:
             .withColumn("quantity", F.col("l_quantity").cast("long"))
         )
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        """(entity_id, category, period, quantity) of every order line."""
+        parts = self.table("part").select("p_partkey", F.col("p_type").alias("category"))
+        return self._sales(parts).select("entity_id", "category", "period", "quantity")
+
     @cached_property
     def long(self) -> DataFrame:
         """(entity_id, category, period, measure), one row per combination."""
-        return (
-            self._sales(self.table("part").select("p_partkey", F.col("p_type").alias("category")))
-            .groupBy("entity_id", "category", "period")
-            .agg(F.sum("quantity").alias("measure"))
-        )
+        return self.lines.groupBy("entity_id", "category", "period").agg(F.sum("quantity").alias("measure"))
 
     @cached_property
     def facts(self) -> DataFrame:
@@ -124,8 +126,7 @@ class Retail:
     def wide_plan(self) -> DataFrame:
         if self.stored:
             return self._widen(self.long, "measure")
-        parts = self.table("part").select("p_partkey", F.col("p_type").alias("category"))
-        return self._widen(self._sales(parts), "quantity")
+        return self._widen(self.lines, "quantity")
 
     @cached_property
     def wide(self) -> DataFrame:
