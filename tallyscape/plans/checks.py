@@ -15,6 +15,22 @@ _TABLES = (
 ).split()
 
 
+# Columns of the order lines and their types.
+_LINE_COLUMNS = [
+    ("l_orderkey", "bigint"),
+    ("l_partkey", "bigint"),
+    ("l_suppkey", "bigint"),
+    ("l_linenumber", "int"),
+    ("l_quantity", "double"),
+    ("l_extendedprice", "double"),
+    ("l_discount", "double"),
+    ("l_tax", "double"),
+    ("l_returnflag", "string"),
+    ("l_linestatus", "string"),
+    ("l_shipdate", "timestamp_ntz"),
+]
+
+
 def _each(template: str, items: list[str] = _COLS, sep: str = ", ") -> str:
     return sep.join(template.format(c=i) for i in items)
 
@@ -240,6 +256,12 @@ CHECKS: dict[str, str] = {
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing FROM known"
         for c in ["l_quantity", "l_discount", "l_tax", "l_returnflag"]
     ),
+    "table_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({i} AS INT) AS position, '{kind}' AS type, count(*) AS rows, "
+        f"count({c}) AS present FROM lineitem"
+        for i, (c, kind) in enumerate(_LINE_COLUMNS)
+    ),
+    "drop_empty_columns": f"WITH {_GAPPY} SELECT * EXCLUDE (l_tax) FROM gappy",
     "fill_zero": f"""WITH {_GAPPY} SELECT l_orderkey, l_linenumber, coalesce(l_quantity, 0) AS l_quantity,
         coalesce(l_discount, 0) AS l_discount, coalesce(l_tax, 0) AS l_tax, l_returnflag FROM known""",
     "drop_nulls": f"""WITH {_GAPPY} SELECT * FROM known WHERE l_quantity IS NOT NULL
@@ -267,6 +289,14 @@ CHECKS: dict[str, str] = {
         for t, c in zip(_TYPES, _COLS)
     )
     + " FROM long WHERE measure < 100 GROUP BY entity_id",
+    "reconcile_totals": f"WITH {_WIDE} "
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, body_sum, stated_total, body_sum = stated_total AS agrees FROM
+        (SELECT CAST(sum({c}) AS BIGINT) AS body_sum FROM wide),
+        (SELECT CAST(sum(l_quantity) AS BIGINT) AS stated_total FROM lineitem JOIN part ON p_partkey = l_partkey
+         WHERE p_type = '{t}')"""
+        for t, c in zip(_TYPES, _COLS)
+    ),
     "dimension_keys": """SELECT row_number() OVER (ORDER BY c_name) AS entity_id, c_name
         FROM (SELECT DISTINCT c_name FROM customer)""",
     "fact_load": f"WITH {_WIDE}, {_CATEGORIES}, long AS ("

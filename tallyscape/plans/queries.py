@@ -155,6 +155,17 @@ def null_profile(t: Retail) -> DataFrame:
     return quality.null_profile(_gappy(t), [*GAPPY, "l_returnflag"])
 
 
+@query
+def table_profile(t: Retail) -> DataFrame:
+    return quality.profile(t.table("lineitem"))
+
+
+@query
+def drop_empty_columns(t: Retail) -> DataFrame:
+    unfilled = {"all_null": F.lit(None).cast("double"), "all_nan": F.lit(float("nan"))}
+    return clean.drop_empty_columns(_gappy(t).drop("l_tax").withColumns(unfilled))
+
+
 @query
 def fill_zero(t: Retail) -> DataFrame:
     return clean.fill_missing(_gappy(t), GAPPY)
@@ -231,6 +242,22 @@ def long_route_pivot(t: Retail) -> DataFrame:
     return reshape.rename(wide, dict(zip(t.category_names, t.measures)))
 
 
+@query
+def reconcile_totals(t: Retail) -> DataFrame:
+    """Column sums of the wide table beside totals taken from the order lines and parts alone."""
+    parts = t.table("part").select("p_partkey", "p_type")
+    lines = t.table("lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    stated = reshape.to_wide(
+        lines.select(F.lit("all").alias("place"), "p_type", F.col("l_quantity").cast("long").alias("quantity")),
+        "place",
+        "p_type",
+        "quantity",
+        values=t.category_names,
+    )
+    totals = reshape.rename(stated, dict(zip(t.category_names, t.measures)))
+    return quality.reconcile_totals(t.wide_plan(), totals, t.measures)
+
+
 # ---- star schema ------------------------------------------------------------------------
 
 

@@ -39,6 +39,8 @@ def test_query_matches_sql(spark, duck, name):
     columns = [c[0] for c in want.description]
     expected = table(columns, want.fetchall())
     assert table(df.columns, df.collect()) == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert expected[1] or name in ("outliers_iqr", "outliers_zscore")
 
 
