@@ -156,6 +156,7 @@ def nearest_centre(
 ) -> DataFrame:
     """Adds the nearest centre's id and the squared distance to it; ties go to the lowest id.
 
+    Fill missing values first: a row with one has no distance, and its id means nothing.
     ``centres`` has columns ``cluster_id`` and ``centre`` (array of double).  It is read
     as one value of at most ``max_clusters`` entries; a larger table raises.
     """

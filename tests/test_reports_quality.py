@@ -2,6 +2,8 @@ import math
 
 import pytest
 from helpers import bag, rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyscape.operators import quality, reports
@@ -47,6 +49,16 @@ def test_report_keeps_entities_without_facts(star):
     assert got == [("p", 0, 3, 13), ("q", 0, 2, 5), ("r", 1, 0, None), ("p2", 1, 1, 5)]
 
 
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 6), st.one_of(st.none(), st.integers(0, 9))), max_size=12))
+def test_report_has_every_assigned_entity_and_every_fact(spark, star, pairs):
+    entities, _, _, assignment = star
+    facts = spark.createDataFrame([(i, e, m) for i, (e, m) in enumerate(pairs)], "fact_id long, entity_id long, measure long")
+    got = reports.entity_cluster_report(assignment, entities, facts).collect()
+    assert sorted(r["entity"] for r in got) == ["p", "p2", "q", "r"]
+    assert sum(r["facts"] for r in got) == sum(1 for e, _ in pairs if e <= 4)
+
+
 def test_repeats_in_the_assignment(spark):
     twice = spark.createDataFrame([("a", 0), ("a", 0), ("b", 1)], "entity string, cluster_id int")
     assert rows(reports.cluster_sizes(twice)) == [(0, 2), (1, 1)]

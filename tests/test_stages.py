@@ -12,6 +12,7 @@ from district_counts import (
     ZERO_MEASURES,
 )
 from helpers import bag, rows
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyscape import jobs
@@ -80,7 +81,25 @@ def test_result_does_not_depend_on_the_input_layout(spark):
     assert outcomes[0] == outcomes[1] == outcomes[2]
 
 
-def test_every_row_is_at_its_nearest_centre_and_ids_are_canonical(spark, run):
+def test_every_row_is_at_its_nearest_centre(spark):
+    data = [(i, float(i % 17), float((i * 7) % 23)) for i in range(300)]
+    df = spark.createDataFrame(data, "k long, a double, b double")
+    vectors = cluster.feature_vectors(cluster.in_fixed_layout(df, "k", 100), ["a", "b"])
+    model = cluster.fit(vectors, 5)
+    centres = spark.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster_id int, centre array<double>"
+    )
+    checked = cluster.nearest_centre(model.transform(vectors), vector_to_array("features"), centres)
+    assert checked.filter("prediction <> cluster_id").count() == 0
+    # the cost is that of the centres, which are the means once training has converged
+    cost = checked.agg(F.sum("distance")).first()[0]
+    assert cost == pytest.approx(cluster.training_cost(model), rel=1e-6)
+    scaled = checked.withColumn("z", vector_to_array("features"))
+    means = cluster.within_cluster_cost(scaled, "z", "prediction").agg(F.sum("cost")).first()[0]
+    assert means == pytest.approx(cost, rel=1e-2) and means <= cost + 1e-9
+
+
+def test_ids_are_canonical(run):
     sizes = rows(run.assigned.groupBy("cluster_id").count().orderBy("cluster_id"))
     assert sizes == [(0, 24), (1, 7), (2, 1), (3, 1)]
 
