@@ -37,7 +37,7 @@ class _Bracket:
         scale = 0.5 if isinf(self.high - self.low) else 1.0
         width = self.high * scale - self.low * scale
         share = (value * scale - self.low * scale) / width
-        number = F.least(F.floor(share * buckets).cast("int"), F.lit(buckets - 1))
+        number = F.least(F.floor(share * buckets), F.lit(buckets - 1).cast("long"))
         return F.when((value >= self.low) & (value <= self.high), number)
 
 

@@ -52,11 +52,14 @@ def test_members_in_order(spark):
     assert rows(reshape.members_in_order(df, "c", "e")) == [(2, "z"), (9, "a"), (9, "b")]
 
 
-def test_dense_keys_follow_the_order(spark):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_dense_keys_follow_the_order(spark, coalesce):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
     names = [f"n{i:05d}" for i in range(3000)]
     df = spark.createDataFrame([(n,) for n in reversed(names)], "name string").repartition(7)
     assert bag(keys.dense_keys(df, ["name"])) == sorted([(i, n) for i, n in enumerate(names, 1)], key=repr)
     assert rows(keys.dense_keys(df.limit(0), ["name"])) == []
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_fact_key_is_unique_and_checked(spark):
