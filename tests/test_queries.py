@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from tallyscape.plans.checks import CHECKS
+from tallyscape.plans.queries import QUERIES
 from tallyscape.plans.retail import TABLES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -32,10 +34,10 @@ def table(columns, data):
     return sorted(columns), sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(CHECKS))
 def test_query_matches_sql(spark, duck, name):
     df = driver.queries()[name](spark, FOLDER)
-    want = duck.execute(driver.oracle_sql()[name])
+    want = duck.execute(CHECKS[name])
     columns = [c[0] for c in want.description]
     expected = table(columns, want.fetchall())
     assert table(df.columns, df.collect()) == expected
@@ -49,7 +51,7 @@ ROWS_ONLY = {"kmeans_scaled": 150, "kmeans_raw": 150, "k_sweep": 7, "regional_pr
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_query_without_sql(spark, name):
-    assert set(driver.queries()) - set(driver.oracle_sql()) == set(ROWS_ONLY)
+    assert set(QUERIES) - set(CHECKS) == set(ROWS_ONLY)
     assert driver.queries()[name](spark, FOLDER).count() == ROWS_ONLY[name]
 
 
