@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscape.llm import bpe, credentials, exact_dedup, mixing
+from tallyscape.llm import bpe, credentials, embedding_dedup, exact_dedup, langid, mixing, pii
 from tallyscape.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,14 @@ def public_vocabulary(name: str = VOCABULARY) -> tuple[dict[bytes, int], str]:
     return bpe.read_ranks(Path(public_tokenizers.path(name)).read_bytes().splitlines()), public_tokenizers.PATTERN
 
 
+#: Surrogates are the same wherever this key is; a user passes a secret one.
+DEMO_KEY = "surrogates-of-the-given-tables"
+
+
+def op1_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.surrogates(table(spark, folder, "documents").select("doc_id", "text"), DEMO_KEY)
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source")
 
@@ -37,6 +45,14 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
+
+
 def op8_credentials(spark: SparkSession, folder: str) -> DataFrame:
     return credentials.report(table(spark, folder, "documents"))
 
@@ -47,5 +63,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mixing, op5_byte_bpe, op8_credentials, op10_exact_dedup)
+    f.__name__: f for f in (op1_pii_surrogates, op3_mixing, op5_byte_bpe, op6_embedding_dedup, op7_language_id, op8_credentials, op10_exact_dedup)
 }
