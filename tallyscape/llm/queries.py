@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscape.llm import bpe, credentials, embedding_dedup, exact_dedup, langid, mixing, pii
+from tallyscape.llm import bpe, column_bwt, credentials, embedding_dedup, exact_dedup, langid, mixing, pii, substring_dedup
 from tallyscape.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -33,6 +33,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source")
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.drop_repeats(table(spark, folder, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_vocabulary()
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -57,11 +61,15 @@ def op8_credentials(spark: SparkSession, folder: str) -> DataFrame:
     return credentials.report(table(spark, folder, "documents"))
 
 
+def op9_suffix_columns(spark: SparkSession, folder: str) -> DataFrame:
+    return column_bwt.drop_repeats(table(spark, folder, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.copies(table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii_surrogates, op3_mixing, op5_byte_bpe, op6_embedding_dedup, op7_language_id, op8_credentials, op10_exact_dedup)
+    f.__name__: f for f in (op1_pii_surrogates, op3_mixing, op4_substring_dedup, op5_byte_bpe, op6_embedding_dedup, op7_language_id, op8_credentials, op9_suffix_columns, op10_exact_dedup)
 }
