@@ -151,3 +151,14 @@ def mix(
     return wide.join(goal, wide["source"].eqNullSafe(goal["source"])).select(
         "doc_id", wide["source"], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")
     )
+
+
+def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` that the mix takes anything of, all columns as they were.
+
+    A document the mix repeats is one row still; ``mix`` says how many words are taken of it.  Rows without
+    words are not taken.
+    """
+    taken = mix(docs, doc_id, text, source, **options).filter("taken > 0")
+    ids = taken.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(ids.hint("shuffle_hash"), docs[doc_id].eqNullSafe(ids["_id"]), "left_semi")

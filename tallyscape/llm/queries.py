@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscape.llm import bpe, column_bwt, credentials, embedding_dedup, exact_dedup, langid, mixing, pii, substring_dedup
+from tallyscape.llm import bpe, column_bwt, credentials, embedding_dedup, exact_dedup, langid, mixing, ngram_join, pii, substring_dedup
 from tallyscape.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -29,6 +29,10 @@ def op1_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return pii.surrogates(table(spark, folder, "documents").select("doc_id", "text"), DEMO_KEY)
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, folder, "documents"))
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source")
 
@@ -71,5 +75,17 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii_surrogates, op3_mixing, op4_substring_dedup, op5_byte_bpe, op6_embedding_dedup, op7_language_id, op8_credentials, op9_suffix_columns, op10_exact_dedup)
+    query.__name__: query
+    for query in (
+        op1_pii_surrogates,
+        op2_ngram_jaccard_join,
+        op3_mixing,
+        op4_substring_dedup,
+        op5_byte_bpe,
+        op6_embedding_dedup,
+        op7_language_id,
+        op8_credentials,
+        op9_suffix_columns,
+        op10_exact_dedup,
+    )
 }
