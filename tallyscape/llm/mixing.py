@@ -154,11 +154,13 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The rows of ``docs`` that the mix takes anything of, all columns as they were.
+    """The mix itself: rows of ``docs``, all columns as they were, as often as the mix takes them.
 
-    A document the mix repeats is one row still; ``mix`` says how many words are taken of it.  Rows without
-    words are not taken.
+    A document of which anything is taken comes once at least, and as often as its taken words fill it to the
+    nearest whole; one of which nothing is taken goes.  Rows without words are not taken.
     """
     taken = mix(docs, doc_id, text, source, **options).filter("taken > 0")
-    ids = taken.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids.hint("shuffle_hash"), docs[doc_id].eqNullSafe(ids["_id"]), "left_semi")
+    times = F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size"))).cast("int")
+    counts = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.max(times).alias("_times"))
+    found = docs.join(counts.hint("shuffle_hash"), docs[doc_id].eqNullSafe(counts["_id"]))
+    return found.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])

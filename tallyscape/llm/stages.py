@@ -30,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the mix takes nothing of."""
+    """The documents of the mix, each as often as it is taken; those it takes nothing of go."""
     return mixing.mixed_documents(docs)
 
 
