@@ -44,6 +44,11 @@ def known(df: DataFrame, name: str) -> Column:
     return F.when(~is_missing(df, name), column(name).cast("double"))
 
 
+def known_as_is(df: DataFrame, name: str) -> Column:
+    """The value in its own type, with NaN turned into null."""
+    return F.when(~is_missing(df, name), column(name))
+
+
 def known_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """The columns as ``known`` doubles named v0, v1, ..., computed once for all later uses."""
     values = [known(df, c).alias(f"v{i}") for i, c in enumerate(columns)]
@@ -54,7 +59,10 @@ def row_total(df: DataFrame, columns: list[str]) -> Column:
     """Row-wise sum; whole numbers add up as long so that no int can overflow."""
     if not columns:
         raise ValueError("row_total needs at least one column")
-    wide = "double" if any(not isinstance(df.schema[c].dataType, T.IntegralType) for c in columns) else "long"
+    kinds = [df.schema[c].dataType for c in columns]
+    if any(isinstance(k, T.DecimalType) for k in kinds) and not any(isinstance(k, T.FractionalType) and not isinstance(k, T.DecimalType) for k in kinds):
+        return reduce(lambda a, b: a + b, [column(c) for c in columns])  # decimals stay exact
+    wide = "long" if all(isinstance(k, T.IntegralType) for k in kinds) else "double"
     return reduce(lambda a, b: a + b, [column(c).cast(wide) for c in columns])
 
 

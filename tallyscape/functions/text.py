@@ -28,5 +28,5 @@ def parse_count(c: Column) -> Column:
 
 
 def snake_name(label: str) -> str:
-    """A display label as a column name: ``Kasus Baru (AIDS)`` gives ``kasus_baru_aids``."""
+    """A display label as a column name: ``New Cases (Late)`` gives ``new_cases_late``."""
     return re.sub(r"[^0-9a-z]+", "_", label.lower()).strip("_")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from math import ceil
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -18,9 +17,8 @@ from pyspark.sql.window import Window
 from tallyscape.functions.columns import column
 from tallyscape.operators.features import assemble, scaled_features
 
-ROWS_PER_PARTITION = 50_000
-MAX_PARTITIONS = 10_000
-MAX_CLUSTERS = 10_000
+PARTITIONS = 16
+MAX_CENTRE_BYTES = 64 << 20  # of the centres that every task holds
 
 # The training settings results are compared under.
 SEED, MAX_ITER, TOL = 42, 50, 1e-4
@@ -32,16 +30,18 @@ GOOD_SILHOUETTE = 0.3
 # ---- training -------------------------------------------------------------------
 
 
-def in_fixed_layout(df: DataFrame, key: str, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Rows placed by key, and ordered, in a number of partitions that depends on the data alone.
+def in_fixed_layout(df: DataFrame, key: str, partitions: int = PARTITIONS) -> DataFrame:
+    """Rows placed by key, and ordered, in a set number of partitions.
 
     KMeans picks its starting centres per partition, so the same table in another layout
-    gives other clusters.  With this one the result does not depend on the cluster the
-    job runs on.  The key should be unique.  Rows are counted first, so hand in a
-    materialised table.
+    gives other clusters.  With this one the result depends on the table and on ``partitions``, a setting
+    to be kept between runs that are compared.  A repeated key raises, as its rows would meet in one
+    partition in no order.
     """
-    n = min(max(1, ceil(df.count() / rows_per_partition)), MAX_PARTITIONS)
-    return df.repartition(n, column(key)).sortWithinPartitions(column(key))
+    twice = df.groupBy(column(key)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if twice is not None:
+        raise ValueError(f"{key} is not unique: {twice[0]!r}")
+    return df.repartition(partitions, column(key)).sortWithinPartitions(column(key))
 
 
 def feature_vectors(df: DataFrame, columns: Sequence[str], *, scale: bool = True) -> DataFrame:
@@ -103,12 +103,10 @@ def canonical_ids(
     *,
     cluster: str = "prediction",
     output: str = "cluster_id",
-    max_clusters: int = MAX_CLUSTERS,
 ) -> DataFrame:
     """Cluster ids 0, 1, ... by size, largest first, then by smallest entity.
 
-    Raw ids depend on the random start; these do not.  The new ids are looked up in one
-    small map, as a join on the cluster would put each cluster's rows into one task.
+    Raw ids depend on the random start; these do not.  The new ids, one row per cluster, are joined on.
     """
     order = Window.orderBy(F.col("_size").desc(), F.col("_first"))
     mapping = (
@@ -116,12 +114,8 @@ def canonical_ids(
         .agg(F.count(F.lit(1)).alias("_size"), F.min(column(entity)).alias("_first"))
         .select("_old", (F.row_number().over(order) - 1).alias("_new"))
     )
-    lookup = _one_value(mapping, ["_old", "_new"], max_clusters)
-    return (
-        df.withColumn("_ids", F.map_from_entries(lookup))
-        .withColumn(output, F.col("_ids")[column(cluster)])
-        .drop("_ids")
-    )
+    kept = [column(c) for c in df.columns if c != output]
+    return df.join(mapping, column(cluster) == F.col("_old"), "left").select(*kept, F.col("_new").alias(output))
 
 
 # ---- distances to given centres ---------------------------------------------------
@@ -139,11 +133,15 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _one_value(rows: DataFrame, fields: Sequence[str], limit: int) -> Column:
-    """A table of one row per cluster as a single array, raising if it is not that small."""
-    few = rows.select(F.struct(*fields).alias("c")).limit(limit + 1)
-    too_many = F.raise_error(F.lit(f"more than {limit} clusters"))
-    packed = F.when(F.count(F.lit(1)) > limit, too_many).otherwise(F.sort_array(F.collect_list("c")))
-    return few.agg(packed.alias("c")).scalar()
+    """A table of one row per cluster as a single array, raising if it exceeds ``limit`` bytes.
+
+    The rows are weighed in an aggregate of their own first, so no task gathers more than the limit.
+    """
+    each = F.lit(8 * len(fields)) + 8 * F.coalesce(F.size("centre"), F.lit(0))
+    weight = rows.agg(F.coalesce(F.sum(each), F.lit(0)).alias("bytes")).scalar()
+    too_many = F.raise_error(F.lit(f"the centres hold more than {limit} bytes"))
+    checked = rows.select(F.when(weight > limit, too_many.cast("int")).alias("none"), F.struct(*fields).alias("c"))
+    return checked.agg(F.sort_array(F.collect_list(F.when(F.col("none").isNull(), F.col("c")))).alias("c")).scalar()
 
 
 def nearest_centre(
@@ -152,15 +150,14 @@ def nearest_centre(
     centres: DataFrame,
     *,
     cluster: str = "cluster_id",
-    max_clusters: int = MAX_CLUSTERS,
+    max_bytes: int = MAX_CENTRE_BYTES,
 ) -> DataFrame:
     """Adds the nearest centre's id and the squared distance to it; ties go to the lowest id.
 
-    Fill missing values first: a row with one has no distance, and its id means nothing.
-    ``centres`` has columns ``cluster_id`` and ``centre`` (array of double).  It is read
-    as one value of at most ``max_clusters`` entries; a larger table raises.
+    A row with a missing feature gets neither.  ``centres`` has columns ``cluster_id`` and ``centre``
+    (array of double).  It is read as one value of at most ``max_bytes``; a larger table raises.
     """
-    table = _one_value(centres, ["cluster_id", "centre"], max_clusters)
+    table = _one_value(centres, ["cluster_id", "centre"], max_bytes)
     nearest = _once(
         features,
         lambda x: F.array_min(
@@ -173,6 +170,7 @@ def nearest_centre(
     return (
         df.withColumn("_table", table)
         .withColumn("_nearest", nearest)
+        .withColumn("_nearest", F.when(F.col("_nearest.d").isNotNull() & ~F.isnan("_nearest.d"), F.col("_nearest")))
         .withColumns({cluster: F.col("_nearest.id"), "distance": F.col("_nearest.d")})
         .drop("_table", "_nearest")
     )
@@ -222,20 +220,22 @@ def silhouettes(
     cluster: str,
     *,
     output: str = "silhouette",
-    max_clusters: int = MAX_CLUSTERS,
+    max_bytes: int = MAX_CENTRE_BYTES,
 ) -> DataFrame:
     """Adds each row's silhouette under squared Euclidean distance.
 
     The mean squared distance of a row to a cluster is its squared distance to the
     centre plus the cluster's spread, so no pairs of rows are formed: every row is
-    compared with one value per cluster.  A cluster of one row scores 0.
+    compared with one value per cluster.  A cluster of one row scores 0.  A single cluster has no
+    silhouette: it raises.
     """
     x = column(features).cast("array<double>") if isinstance(features, str) else F.array(
         *[column(c).cast("double") for c in features]
     )
     table = _one_value(
-        moments(df, features, cluster), ["cluster_id", "size", "centre", "spread"], max_clusters
+        moments(df, features, cluster), ["cluster_id", "size", "centre", "spread"], max_bytes
     )
+    single = F.raise_error(F.lit("a silhouette needs two clusters")).cast("double")
     distances = _once(
         x,
         lambda v: F.transform(
@@ -250,7 +250,11 @@ def silhouettes(
     mine = F.filter(F.col("_distances"), lambda m: m["own"])[0]
     others = F.transform(F.filter(F.col("_distances"), lambda m: ~m["own"]), lambda m: m["d"])
     size, a, b = F.col("_mine.size"), F.col("_a"), F.col("_b")
-    score = F.when((size == 1) | (a == b), 0.0).otherwise((b - a) / F.greatest(a, b))
+    score = (
+        F.when(F.size("_distances") < 2, single)
+        .when((size == 1) | (a == b), 0.0)
+        .otherwise((b - a) / F.greatest(a, b))
+    )
     return (
         df.withColumn("_table", table)
         .withColumn("_distances", distances)

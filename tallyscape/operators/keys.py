@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -13,10 +13,6 @@ from tallyscape.session import materialise
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
-# Room in a fact key for the category id and for the period.
-CATEGORY_BITS = 14
-PERIOD_BITS = 13
-
 
 def dense_keys(df: DataFrame, order_by: Sequence[str], key: str = "id", *, start: int = 1) -> DataFrame:
     """Number the rows ``start``, ``start + 1``, ... in the given order.
@@ -40,25 +36,7 @@ def dense_keys(df: DataFrame, order_by: Sequence[str], key: str = "id", *, start
         .count()
         .select("_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
     )
-    return numbered.join(F.broadcast(offsets), "_part").select(
+    return numbered.join(offsets, "_part").select(
         (F.col("_offset") + F.col("_row") + start).cast("long").alias(key), *[column(c) for c in df.columns]
     )
 
-
-def fact_key(entity_id: Column, category_id: Column, period: Column) -> Column:
-    """A key made of the three parts that identify a fact row.
-
-    Unique, the same on every run, and free of any shuffle.  Parts that do not fit
-    their bits raise instead of colliding.
-    """
-    fits = (
-        entity_id.between(0, (1 << (63 - CATEGORY_BITS - PERIOD_BITS)) - 1)
-        & category_id.between(0, (1 << CATEGORY_BITS) - 1)
-        & period.between(0, (1 << PERIOD_BITS) - 1)
-    )
-    packed = (
-        F.shiftleft(entity_id.cast("long"), CATEGORY_BITS + PERIOD_BITS)
-        + F.shiftleft(category_id.cast("long"), PERIOD_BITS)
-        + period.cast("long")
-    )
-    return F.when(fits, packed).otherwise(F.raise_error(F.lit("fact key part is null or out of range")))

@@ -1,14 +1,16 @@
-"""Exact quantiles over any number of rows.
+"""Exact quantiles over any number of rows, in a few passes whatever the values.
 
-The built-in ``percentile`` keeps every distinct value of a group in one buffer.  Here a
-histogram says which bucket holds the wanted rank, and that bucket alone is split again
-until it holds a single value.  Every pass is one ordinary aggregation with a bounded
-number of groups, combined before the shuffle, so neither the number of rows nor one
-very frequent value matters to any task.
+The built-in ``percentile`` keeps every distinct value of a group in one buffer.  Here the
+built-in approximation, whose error in rank is bounded, brackets the wanted ranks between two
+values.  A pass over the rows of a bracket counts it and brackets more closely, by a factor of
+some hundreds; once few rows are left they are counted by value.  Brackets are cut by rank, not by
+width, so skewed or repeated values make no difference.  Every pass is one ordinary aggregation,
+combined before the shuffle.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil, floor, isinf
@@ -18,88 +20,166 @@ from pyspark.sql import functions as F
 
 from tallyscape.functions.columns import known_values
 
+GRID = 1024  # probes of a pass
+ACCURACY = 10_000  # an approximate rank is off by at most one in so many
+HELD = 200_000  # rows of a bracket up to which its values are counted one by one
+
 
 @dataclass(frozen=True)
 class _Bracket:
-    """All values of a column, by its number, from ``low`` to ``high``, with ``below`` rows under them."""
+    """The values of a column, by its number, from ``low`` to ``high``; None is unbounded.
+
+    ``inner`` leaves out the two ends, where they are too frequent to be cut off otherwise.
+    """
 
     column: int
-    low: float
-    high: float
-    below: int
+    low: float | None = None
+    high: float | None = None
+    inner: bool = False
 
     @property
     def settled(self) -> bool:
-        return self.low == self.high
+        return self.low is not None and self.low == self.high
 
-    def bucket(self, value: Column, buckets: int) -> Column:
-        """Number of the equal-width bucket; null outside.  Rises with the value."""
-        scale = 0.5 if isinf(self.high - self.low) else 1.0
-        width = self.high * scale - self.low * scale
-        share = (value * scale - self.low * scale) / width
-        number = F.least(F.floor(share * buckets), F.lit(buckets - 1).cast("long"))
-        return F.when((value >= self.low) & (value <= self.high), number)
+    def holds(self) -> Column:
+        value = F.col(f"v{self.column}")
+        if self.low is None:
+            return value.isNotNull()
+        inside = (value > self.low) & (value < self.high) if self.inner else (value >= self.low) & (value <= self.high)
+        return F.coalesce(inside, F.lit(False))
+
+    def under(self) -> Column:
+        if self.low is None:
+            return F.lit(False)
+        value = F.col(f"v{self.column}")
+        return F.coalesce(value <= self.low if self.inner else value < self.low, F.lit(False))
+
+    def equal(self, end: float | None) -> Column:
+        return F.lit(False) if end is None or self.inner else F.col(f"v{self.column}") == end
 
 
 def quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], *, buckets: int = 1024
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    *,
+    grid: int = GRID,
+    accuracy: int = ACCURACY,
+    held: int = HELD,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation; missing values are left out.
 
-    The driver receives at most ``buckets`` counts per column and rank in each pass.
+    Two passes up to ``held`` rows, three up to some 10^10, four up to some 10^12.  The driver
+    receives ``grid`` values per bracket and pass, at the end at most ``held`` counts per bracket.
     The passes re-read ``df``, so hand in a stored or materialised table.
     """
     if any(not 0 <= p <= 1 for p in probs):
         raise ValueError("probabilities lie between 0 and 1")
     values = known_values(df, columns)
-    ends = values.agg(
-        *[f(f"v{i}").alias(f"{n}{i}") for i in range(len(columns)) for n, f in (("n", F.count), ("low", F.min), ("high", F.max))]
-    ).first()
-    holding: dict[tuple[int, int], _Bracket] = {}
-    for i, c in enumerate(columns):
-        rows, low, high = ends[f"n{i}"], ends[f"low{i}"], ends[f"high{i}"]
-        if rows and (isinf(low) or isinf(high)):
-            raise ValueError(f"{c} has infinite values")
-        for position in [p * (rows - 1) for p in probs if rows]:
+    wanted: dict[tuple[int, int], _Bracket] = {}
+    rows: list[int] = []
+    whole = [_Bracket(i) for i in range(len(columns))]
+    for i, (_, inside, _, _, found) in enumerate(_probe(values, whole, grid, accuracy)):
+        rows.append(inside)
+        if inside and (isinf(found[0]) or isinf(found[-1])):
+            raise ValueError(f"{columns[i]} has infinite values")
+        for position in [p * (inside - 1) for p in probs if inside]:
             for rank in (floor(position), ceil(position)):
-                holding[i, rank] = _Bracket(i, low, high, 0)
-    while wide := sorted({b for b in holding.values() if not b.settled}, key=lambda b: (b.column, b.low)):
-        parts = _split(values, wide, buckets)
-        for key, bracket in holding.items():
-            if not bracket.settled:
-                holding[key] = next(part for part, end in parts[bracket] if key[1] < end)
+                wanted[i, rank] = _closer(_Bracket(i), rank, inside, found, accuracy)
+    size = {b: rows[b.column] * (2 / grid + 5 / accuracy) for b in wanted.values()}
+    exact: dict[tuple[int, int], float] = {}
+    while True:
+        for key, bracket in wanted.items():
+            if bracket.settled:
+                exact[key] = bracket.low
+        open_ = sorted({b for k, b in wanted.items() if k not in exact}, key=lambda b: (b.column, b.low))
+        if not open_:
+            break
+        large = [b for b in open_ if size[b] > held]
+        if large:
+            probed = dict(zip(large, _probe(values, large, grid, accuracy)))
+            for key, bracket in wanted.items():
+                if bracket in probed:
+                    below, inside, first, last, found = probed[bracket]
+                    rank = key[1] - below
+                    if rank < first or rank >= inside - last:
+                        end = bracket.low if rank < first else bracket.high
+                        wanted[key] = _Bracket(bracket.column, end, end)
+                        continue
+                    closer = _closer(bracket, rank, inside, found, accuracy)
+                    size[closer] = inside * (2 / grid + 5 / accuracy)
+                    if (closer.low, closer.high) == (bracket.low, bracket.high):
+                        closer = _Bracket(bracket.column, bracket.low, bracket.high, inner=True)
+                        size[closer] = inside - first - last
+                    wanted[key] = closer
+            continue
+        counted = dict(zip(open_, _count(values, open_)))
+        for key, bracket in wanted.items():
+            if key not in exact:
+                ends, found = counted[bracket]
+                exact[key] = found[bisect_right(ends, key[1])]
     result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
     for i, c in enumerate(columns):
-        for j, position in enumerate(p * (ends[f"n{i}"] - 1) for p in probs if ends[f"n{i}"]):
-            low, high = holding[i, floor(position)].low, holding[i, ceil(position)].low
+        for j, position in enumerate(p * (rows[i] - 1) for p in probs if rows[i]):
+            low, high = exact[i, floor(position)], exact[i, ceil(position)]
             result[c][j] = low if low == high else low + (high - low) * (position - floor(position))
     return result
 
 
-def _split(
-    values: DataFrame, brackets: list[_Bracket], buckets: int
-) -> dict[_Bracket, list[tuple[_Bracket, int]]]:
-    """The non-empty buckets of each bracket in order, each with the rank its rows end before."""
+def _closer(bracket: _Bracket, rank: int, rows: int, found: list[float], accuracy: int) -> _Bracket:
+    """The part of a bracket of ``rows`` rows that must hold the rank, by the values found on its grid."""
+    slack = rows * 2 / accuracy + 2
+    steps = len(found) - 1
+    low = floor(max(0, (rank - slack) / rows) * steps)
+    high = ceil(min(1, (rank + slack) / rows) * steps)
+    return _Bracket(bracket.column, found[low], found[high])
+
+
+def _probe(
+    values: DataFrame, brackets: list[_Bracket], grid: int, accuracy: int
+) -> list[tuple[int, int, int, int, list[float]]]:
+    """Per bracket: rows under it, in it, at its low and at its high end, and its values at the steps of the grid."""
+    steps = [i / grid for i in range(grid + 1)]
+    aggregates = []
+    for k, b in enumerate(brackets):
+        own = F.when(b.holds(), F.col(f"v{b.column}"))
+        aggregates += [
+            F.count(F.when(b.under(), 1)).alias(f"u{k}"),
+            F.count(own).alias(f"n{k}"),
+            F.count(F.when(b.equal(b.low), 1)).alias(f"e{k}"),
+            F.count(F.when(b.equal(b.high), 1)).alias(f"f{k}"),
+            F.min(own).alias(f"a{k}"),
+            F.percentile_approx(own, steps, accuracy).alias(f"p{k}"),
+            F.max(own).alias(f"z{k}"),
+        ]
+    row = values.agg(*aggregates).first()
+    out = []
+    for k in range(len(brackets)):
+        found = list(row[f"p{k}"] or [])
+        if found:
+            found[0], found[-1] = row[f"a{k}"], row[f"z{k}"]
+        out.append((row[f"u{k}"], row[f"n{k}"], row[f"e{k}"], row[f"f{k}"], found))
+    return out
+
+
+def _count(values: DataFrame, brackets: list[_Bracket]) -> list[tuple[list[int], list[float]]]:
+    """Per bracket its values in order, each with the rank its rows end before."""
     entries = F.array(
         *[
             F.struct(
-                F.lit(i).alias("bracket"),
-                b.bucket(F.col(f"v{b.column}"), buckets).alias("bucket"),
-                F.col(f"v{b.column}").alias("value"),
+                F.lit(k).alias("bracket"),
+                (b.holds() | b.under()).alias("met"),
+                F.when(b.holds(), F.col(f"v{b.column}")).alias("value"),
             )
-            for i, b in enumerate(brackets)
+            for k, b in enumerate(brackets)
         ]
     )
-    counts = (
-        values.select(F.inline(entries))
-        .filter(F.col("bucket").isNotNull())
-        .groupBy("bracket", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .collect()
-    )
-    parts: dict[_Bracket, list[tuple[_Bracket, int]]] = {b: [] for b in brackets}
-    for r in sorted(counts, key=lambda r: (r["bracket"], r["bucket"])):
-        bracket = brackets[r["bracket"]]
-        below = parts[bracket][-1][1] if parts[bracket] else bracket.below
-        parts[bracket].append((_Bracket(bracket.column, r["low"], r["high"], below), below + r["n"]))
-    return parts
+    met = values.select(F.explode(F.filter(entries, lambda e: e["met"])).alias("e")).select("e.bracket", "e.value")
+    counts = met.groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("n")).collect()
+    out: list[tuple[list[int], list[float]]] = [([], []) for _ in brackets]
+    under = {r["bracket"]: r["n"] for r in counts if r["value"] is None}
+    for r in sorted((r for r in counts if r["value"] is not None), key=lambda r: (r["bracket"], r["value"])):
+        ends, found = out[r["bracket"]]
+        ends.append((ends[-1] if ends else under.get(r["bracket"], 0)) + r["n"])
+        found.append(r["value"])
+    return out

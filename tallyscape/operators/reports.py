@@ -94,9 +94,9 @@ def category_totals_in_cluster(
     """Total per category over the members of one cluster; categories without cases are left out."""
     members = assignment.filter(column(cluster) == cluster_id).select(entity)
     ids = entities.select(entity_id, entity).join(members, entity).select(entity_id)
-    per_pair = facts.groupBy(column(entity_id), column(category_id)).agg(F.sum(column(measure)).alias("_sum"))
     return (
-        per_pair.join(ids, entity_id)
+        facts.select(entity_id, category_id, column(measure).alias("_sum"))
+        .join(ids, entity_id, "left_semi")
         .groupBy(category_id)
         .agg(F.sum("_sum").alias("_sum"))
         .join(categories.select(category_id, category), category_id)
@@ -159,7 +159,7 @@ def entities_per_cluster(
 
 
 def assignment_pairs(
-    assignment: DataFrame, *, cluster: str = "cluster_id", entity: str = "entity", n: int | None = 20
+    assignment: DataFrame, *, cluster: str = "cluster_id", entity: str = "entity", n: int | None = None
 ) -> DataFrame:
     """Rows per (cluster, entity) in order; anything above 1 is a repeat."""
     pairs = (
@@ -176,7 +176,7 @@ def assignment_by_name(
     *,
     entity: str = "entity",
     cluster: str = "cluster_id",
-    n: int | None = 10,
+    n: int | None = None,
 ) -> DataFrame:
     """Entities matched to the assignment by exact name, ordered by cluster and name."""
     joined = (

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyscape.functions.columns import column, quoted, row_total
-
-CONDITIONAL_SUMS = 48
+from tallyscape.functions.columns import column, row_total
 
 
 def category_values(categories: DataFrame, name: str) -> list[str]:
@@ -36,23 +34,35 @@ def to_wide(
     *,
     values: Sequence[str] | None = None,
     fill: int | None = 0,
+    other: str | None = None,
 ) -> DataFrame:
     """One row per entity, one summed column per category, gaps filled.
 
     With ``values`` no extra job is needed to find the categories and the column order
-    is fixed.  Up to ``CONDITIONAL_SUMS`` categories each become a conditional sum: one
-    shuffle, on rows already combined per entity.  Beyond that testing every row against
-    every category costs more than the second shuffle of a pivot.
+    is fixed.  A row of another category, or of none, raises, unless ``other`` names a column
+    for the sum of such rows.  Whole numbers are summed as long, decimals as decimals.
+
+    Rows are summed per entity and category first, so the conditional sums of the second step see one
+    row per pair, for any number of categories.
     """
-    whole = isinstance(df.schema[measure].dataType, T.IntegralType)
-    amount = column(measure).cast("long" if whole else "double")
+    kind = df.schema[measure].dataType
+    amount = column(measure)
+    if not isinstance(kind, T.DecimalType):
+        amount = amount.cast("long" if isinstance(kind, T.IntegralType) else "double")
     found = list(values) if values is not None else category_values(df, category)
-    if len(found) <= CONDITIONAL_SUMS:
-        sums = [F.sum(F.when(column(category) == v, amount)).alias(v) for v in found]
-        wide = df.groupBy(column(entity)).agg(*sums)
-    else:
-        wide = df.groupBy(column(entity)).pivot(quoted(category), found).agg(F.sum(amount))
-    return wide if fill is None else wide.fillna(fill, subset=found)
+    name, total = F.col("_category"), F.col("_sum")
+    pairs = df.groupBy(column(entity), column(category).alias("_category")).agg(F.sum(amount).alias("_sum"))
+    listed = F.coalesce(name.isin(found), F.lit(False))
+    if other is None and values is not None:
+        outside = F.raise_error(F.concat(F.lit("category not listed: "), F.coalesce(name.cast("string"), F.lit("null"))))
+        pairs = pairs.withColumn("_category", F.when(listed, name).otherwise(outside.cast(pairs.schema["_category"].dataType)))
+    sums = [F.sum(F.when(name == v, total)).alias(v) for v in found]
+    if other is not None:
+        sums.append(F.sum(F.when(~listed, total)).alias(other))
+    if fill is not None:
+        filled = [*found, *([other] if other is not None else [])]
+        sums = [F.coalesce(s, F.lit(fill).cast(pairs.schema["_sum"].dataType)).alias(n) for s, n in zip(sums, filled)]
+    return pairs.groupBy(column(entity)).agg(*sums)
 
 
 def to_long(

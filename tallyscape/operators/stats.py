@@ -8,19 +8,19 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyscape.functions.columns import known, known_values
+from tallyscape.functions.columns import known_as_is, known_values
 from tallyscape.operators.quality import _per_column
 from tallyscape.operators.quantiles import quantiles
 
 
 def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Smallest and largest value per column, all in one pass."""
+    """Smallest and largest value per column, all in one pass, in the columns' common type."""
     return _per_column(
         df,
         columns,
         {
-            "min": {c: F.min(known(df, c)) for c in columns},
-            "max": {c: F.max(known(df, c)) for c in columns},
+            "min": {c: F.min(known_as_is(df, c)) for c in columns},
+            "max": {c: F.max(known_as_is(df, c)) for c in columns},
         },
     )
 

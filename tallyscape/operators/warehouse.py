@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyscape.functions.columns import column
-from tallyscape.operators.keys import dense_keys, fact_key
+from tallyscape.operators.keys import dense_keys
 from tallyscape.operators.reshape import to_long
 
 NOW = object()  # default that stands for the time of the load
@@ -28,12 +29,13 @@ class TargetColumn:
     default: object = None
     required: bool = False
     max_length: int | None = None
+    unique: bool = False
 
 
 def entity_target(key: str = "entity_id", name: str = "entity") -> list[TargetColumn]:
     return [
         TargetColumn(key, T.LongType(), required=True),
-        TargetColumn(name, T.StringType(), required=True, max_length=NAME_LENGTH),
+        TargetColumn(name, T.StringType(), required=True, max_length=NAME_LENGTH, unique=True),
     ]
 
 
@@ -116,6 +118,55 @@ def add_missing_names(existing: DataFrame, incoming: DataFrame, *, name: str = "
     return kept.unionByName(numbered.select(column(key), column(name)))
 
 
+def repeated_values(df: DataFrame, target: Sequence[TargetColumn]) -> DataFrame:
+    """column_name, value, rows: values that stand more than once in a unique column of the target."""
+    found = [
+        df.filter(column(t.name).isNotNull())
+        .groupBy(column(t.name).cast("string").alias("value"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1")
+        .select(F.lit(t.name).alias("column_name"), "value", "rows")
+        for t in target
+        if t.unique
+    ]
+    if not found:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, rows long")
+    return reduce(DataFrame.unionByName, found)
+
+
+def name_rejects(df: DataFrame, target: Sequence[TargetColumn]) -> DataFrame:
+    """Rows that ``conform`` would raise for: a required value missing, or a name too long."""
+    bad = F.lit(False)
+    for t in target:
+        if t.required and t.default is None:
+            bad = bad | column(t.name).isNull()
+        if t.max_length is not None:
+            bad = bad | F.coalesce(F.length(column(t.name)) > t.max_length, F.lit(False))
+    return df.filter(bad)
+
+
+def _keyed(
+    wide: DataFrame,
+    entities: DataFrame,
+    categories: DataFrame,
+    columns: Sequence[str],
+    entity: str,
+    period: str | int | None,
+    category_column: str,
+) -> DataFrame:
+    """The unpivoted table with the ids found for it; an id that is not found is null."""
+    year = column(period) if isinstance(period, str) else F.lit(period)
+    ids = entities.select(F.col("entity_id").alias("_id"), column(entity).alias("_name"))
+    keyed = wide.join(ids, column(entity) == F.col("_name"), "left").select(
+        column(entity).alias("_entity"),
+        F.col("_id").alias("entity_id"),
+        F.coalesce(year.cast("int"), F.lit(DEFAULT_PERIOD)).alias("period"),
+        *[column(c) for c in columns],
+    )
+    long = to_long(keyed, ["_entity", "entity_id", "period"], columns, category=category_column, measure="measure")
+    return long.join(categories.select("category_id", category_column), category_column, "left")
+
+
 def load_facts(
     wide: DataFrame,
     entities: DataFrame,
@@ -125,6 +176,7 @@ def load_facts(
     entity: str = "entity",
     period: str | int | None = None,
     category_column: str = "column_name",
+    skip_rejects: bool = False,
 ) -> DataFrame:
     """Fill the fact table from a wide table.
 
@@ -133,16 +185,42 @@ def load_facts(
     for, so display names and column names may differ.  ``period`` is a column of the
     wide table, a year, or None for the default.  Ids are joined while there is still
     one row per entity; unpivoting first would shuffle a row per category as well.
+
+    A row whose entity or category is unknown raises, unless ``skip_rejects`` leaves such rows to
+    ``fact_rejects``.  Facts are numbered in the order of entity, category and period; one that
+    comes twice raises.
     """
-    year = column(period) if isinstance(period, str) else F.lit(period)
-    keyed = wide.join(entities.select("entity_id", column(entity)), entity).withColumn(
-        "period", F.coalesce(year.cast("int"), F.lit(DEFAULT_PERIOD))
-    )
-    long = to_long(keyed, ["entity_id", "period"], columns, category=category_column, measure="measure")
-    facts = long.join(categories.select("category_id", category_column), category_column).withColumn(
-        "fact_id", fact_key(F.col("entity_id"), F.col("category_id"), F.col("period"))
-    )
-    return conform(facts, fact_target())
+    found = _keyed(wide, entities, categories, columns, entity, period, category_column)
+    known = F.col("entity_id").isNotNull() & F.col("category_id").isNotNull()
+    if skip_rejects:
+        found = found.filter(known)
+    else:
+        unknown = F.raise_error(F.concat(F.lit("no id for "), F.coalesce("_entity", F.lit("null")), F.lit(" or "), category_column))
+        found = found.withColumn("entity_id", F.when(known, F.col("entity_id")).otherwise(unknown.cast("long")))
+    parts = ["entity_id", "category_id", "period"]
+    numbered = dense_keys(found.select(*parts, "measure"), parts, "fact_id")
+    twice = numbered.groupBy(*parts).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if twice is not None:
+        raise ValueError(f"more than one fact for {twice.asDict()}")
+    return conform(numbered, fact_target())
+
+
+def fact_rejects(
+    wide: DataFrame,
+    entities: DataFrame,
+    categories: DataFrame,
+    columns: Sequence[str],
+    *,
+    entity: str = "entity",
+    period: str | int | None = None,
+    category_column: str = "column_name",
+) -> DataFrame:
+    """What ``load_facts`` has no place for: entity, column, period, measure, and which id is missing."""
+    found = _keyed(wide, entities, categories, columns, entity, period, category_column)
+    missing = F.when(F.col("entity_id").isNull(), "entity").when(F.col("category_id").isNull(), "category")
+    return found.select(
+        F.col("_entity").alias("entity"), column(category_column), "period", "measure", missing.alias("missing")
+    ).filter(F.col("missing").isNotNull())
 
 
 def key_violations(facts: DataFrame, dimension_table: DataFrame, key: str) -> DataFrame:
@@ -151,4 +229,6 @@ def key_violations(facts: DataFrame, dimension_table: DataFrame, key: str) -> Da
 
 
 def valid_facts(facts: DataFrame, dimension_table: DataFrame, key: str) -> DataFrame:
-    return facts.join(dimension_table.select(column(key)), key, "left_semi")
+    """All other rows: those with a key of the dimension, and those with none."""
+    matched = facts.join(dimension_table.select(column(key)), key, "left_semi")
+    return matched.unionByName(facts.filter(column(key).isNull()))

@@ -58,7 +58,7 @@ _ENTITIES = """
 entities AS (SELECT c_custkey AS entity_id, c_name AS entity FROM customer)"""
 _FACTS = f"""{_LONG}, {_CATEGORIES}, {_ENTITIES},
 facts AS (
-    SELECT (entity_id << 27) + (category_id << 13) + period AS fact_id,
+    SELECT row_number() OVER () AS fact_id,
            entity_id, category_id, period, measure
     FROM long JOIN categories USING (category)
 )"""
@@ -114,7 +114,7 @@ clustered AS (
 )
 _GAPPY = """
 gappy AS (
-    SELECT l_orderkey, l_linenumber,
+    SELECT l_orderkey, l_linenumber, l_quantity AS quantity,
            CASE WHEN l_quantity < 45 THEN l_quantity END AS l_quantity,
            CASE WHEN l_discount <> 0 THEN l_discount END AS l_discount,
            CASE WHEN l_tax = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_tax END AS l_tax,
@@ -122,7 +122,7 @@ gappy AS (
     FROM lineitem
 ),
 known AS (
-    SELECT l_orderkey, l_linenumber, l_quantity, l_discount,
+    SELECT l_orderkey, l_linenumber, quantity, l_quantity, l_discount,
            CASE WHEN NOT isnan(l_tax) THEN l_tax END AS l_tax, l_returnflag
     FROM gappy
 )"""
@@ -207,7 +207,7 @@ def _impute(value: str) -> str:
     filled = ", ".join(
         f"round(coalesce({c}, {value.format(c=c)}), 6) AS {c}" for c in ["l_quantity", "l_discount", "l_tax"]
     )
-    return f"WITH {_GAPPY} SELECT l_orderkey, l_linenumber, {filled}, l_returnflag FROM known"
+    return f"WITH {_GAPPY} SELECT l_orderkey, l_linenumber, quantity, {filled}, l_returnflag FROM known"
 
 
 def _outliers(lower: str, upper: str) -> str:
@@ -262,13 +262,13 @@ CHECKS: dict[str, str] = {
         for i, (c, kind) in enumerate(_LINE_COLUMNS)
     ),
     "drop_empty_columns": f"WITH {_GAPPY} SELECT * EXCLUDE (l_tax) FROM gappy",
-    "fill_zero": f"""WITH {_GAPPY} SELECT l_orderkey, l_linenumber, coalesce(l_quantity, 0) AS l_quantity,
+    "fill_zero": f"""WITH {_GAPPY} SELECT l_orderkey, l_linenumber, quantity, coalesce(l_quantity, 0) AS l_quantity,
         coalesce(l_discount, 0) AS l_discount, coalesce(l_tax, 0) AS l_tax, l_returnflag FROM known""",
     "drop_nulls": f"""WITH {_GAPPY} SELECT * FROM known WHERE l_quantity IS NOT NULL
         AND l_discount IS NOT NULL AND l_tax IS NOT NULL AND l_returnflag IS NOT NULL""",
     "impute_mean": _impute("(SELECT avg({c}) FROM known)"),
     "impute_median": _impute("(SELECT quantile_cont({c}, 0.5) FROM known)"),
-    "impute_mode": f"WITH {_GAPPY} SELECT l_orderkey, l_linenumber, "
+    "impute_mode": f"WITH {_GAPPY} SELECT l_orderkey, l_linenumber, quantity, "
     + ", ".join(
         f"coalesce({c}, {_mode(c)}) AS {c}" for c in ["l_quantity", "l_discount", "l_tax", "l_returnflag"]
     )
@@ -288,7 +288,7 @@ CHECKS: dict[str, str] = {
         f"CAST(coalesce(sum(CASE WHEN category = '{t}' THEN measure END), 0) AS BIGINT) AS {c}"
         for t, c in zip(_TYPES, _COLS)
     )
-    + " FROM long WHERE measure < 100 GROUP BY entity_id",
+    + " FROM long GROUP BY entity_id",
     "reconcile_totals": f"WITH {_WIDE} "
     + " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, body_sum, stated_total, body_sum = stated_total AS agrees FROM
@@ -301,7 +301,7 @@ CHECKS: dict[str, str] = {
         FROM (SELECT DISTINCT c_name FROM customer)""",
     "fact_load": f"WITH {_WIDE}, {_CATEGORIES}, long AS ("
     + " UNION ALL ".join(f"SELECT entity_id, '{t}' AS category, {c} AS measure FROM wide" for t, c in zip(_TYPES, _COLS))
-    + """) SELECT (entity_id << 27) + (category_id << 13) + 2024 AS fact_id, entity_id, category_id, measure,
+    + """) SELECT row_number() OVER (ORDER BY entity_id, category_id) AS fact_id, entity_id, category_id, measure,
         CAST(2024 AS INT) AS period FROM long JOIN categories USING (category)""",
     "seed_ignore_existing": f"""WITH {_CATEGORIES} SELECT * FROM categories UNION ALL
         SELECT (SELECT max(category_id) FROM categories) + row_number() OVER (ORDER BY name), name
@@ -311,9 +311,38 @@ CHECKS: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal >= 0)""",
     "fk_valid": """SELECT o_custkey, o_orderkey FROM orders
         WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal >= 0)""",
-    "apply_defaults": f"""WITH {_GAPPY} SELECT l_orderkey * 10 + l_linenumber AS fact_id, l_orderkey AS entity_id,
-        CAST(l_linenumber AS BIGINT) AS category_id, CAST(coalesce(l_quantity, 0) AS BIGINT) AS measure,
-        CAST(2024 AS INT) AS period FROM known""",
+    "apply_defaults": """SELECT doc_id AS fact_id, doc_id AS entity_id, CAST(toxic AS BIGINT) AS category_id,
+        CAST(coalesce(quality, 0) AS BIGINT) AS measure, CAST(2024 AS INT) AS period
+        FROM documents LEFT JOIN labels USING (doc_id)""",
+    "fact_rejects": f"WITH {_WIDE}, {_CATEGORIES}, long AS ("
+    + " UNION ALL ".join(f"SELECT entity_id, '{c}' AS column_name, {c} AS measure FROM wide" for c in _COLS)
+    + """), known AS (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+        SELECT entity_id AS entity, column_name, CAST(2024 AS INT) AS period, measure,
+               CASE WHEN entity_id NOT IN (SELECT c_custkey FROM known) THEN 'entity' ELSE 'category' END AS missing
+        FROM long WHERE entity_id NOT IN (SELECT c_custkey FROM known) OR column_name = 'promo'""",
+    "fk_null_kept": """SELECT l.doc_id AS label_id, d.doc_id FROM documents d LEFT JOIN labels l USING (doc_id)
+        WHERE l.doc_id IS NULL OR l.toxic = 0""",
+    "null_profile_labels": """SELECT 'doc_id' AS column_name, count(*) - count(doc_id) AS missing FROM documents
+        UNION ALL SELECT 'n_chars', count(*) - count(n_chars) FROM documents
+        UNION ALL SELECT 'quality', count(*) - count(quality) FROM documents LEFT JOIN labels USING (doc_id)
+        UNION ALL SELECT 'toxic', count(*) - count(toxic) FROM documents LEFT JOIN labels USING (doc_id)""",
+    "impute_labels": """SELECT doc_id, round(coalesce(quality, (SELECT avg(quality) FROM labels)), 6) AS quality,
+        round(coalesce(toxic, (SELECT avg(toxic) FROM labels)), 6) AS toxic
+        FROM documents LEFT JOIN labels USING (doc_id)""",
+    "fill_labels": """SELECT doc_id, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic
+        FROM documents LEFT JOIN labels USING (doc_id)""",
+    "drop_unlabelled": "SELECT doc_id, lang, quality FROM documents JOIN labels USING (doc_id)",
+    "long_route_incomplete": "SELECT source, "
+    + ", ".join(
+        f"CAST(coalesce(sum(CASE WHEN lang = '{c}' THEN quality END), 0) AS BIGINT) AS {c}" for c in ("de", "en", "es", "fr")
+    )
+    + " FROM documents JOIN labels USING (doc_id) GROUP BY source",
+    "left_report_unmatched": """SELECT 'document ' || doc_id AS entity, lang AS cluster_id,
+        count(l.quality) AS facts, CAST(sum(l.quality) AS BIGINT) AS total
+        FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY doc_id, lang""",
+    "kmeans_totals": f"WITH {_WIDE} SELECT count(*) AS rows, " + _each("CAST(sum({c}) AS BIGINT) AS {c}") + " FROM wide",
+    "kmeans_fixed_point": "SELECT 0 AS misplaced",
+    "sweep_shape": "SELECT 2 AS least, 8 AS most, 7 AS tried, 1 AS best, true AS \"right\"",
     "default_value": f"WITH {_GAPPY} SELECT l_orderkey, l_linenumber, coalesce(l_returnflag, '?') AS flag FROM known",
     "sum_by_period": f"WITH {_LONG} SELECT period, CAST(sum(measure) AS BIGINT) AS total FROM long GROUP BY period",
     "sum_by_category": f"""WITH {_LONG} SELECT category, CAST(sum(measure) AS BIGINT) AS total FROM long
@@ -337,9 +366,9 @@ CHECKS: dict[str, str] = {
         JOIN entities USING (entity_id) JOIN assignment USING (entity)
         WHERE cluster_id = 0 GROUP BY category HAVING sum(measure) > 0""",
     "entity_cluster_report": f"""WITH {_NEAREST}, {_FACTS.replace(_SALES + ",", "", 1)},
-        small AS (SELECT * FROM facts WHERE measure > 100)
+        known AS (SELECT * FROM facts)
         SELECT entity, cluster_id, count(fact_id) AS facts, CAST(sum(measure) AS BIGINT) AS total
-        FROM assignment JOIN entities USING (entity) LEFT JOIN small USING (entity_id)
+        FROM assignment JOIN entities USING (entity) LEFT JOIN known USING (entity_id)
         GROUP BY entity, cluster_id""",
     "wide_by_cluster": f"WITH {_CLUSTERED} SELECT * FROM clustered",
     "cluster_stats": f"WITH {_CLUSTERED} SELECT cluster_id, count(*) AS size, "
@@ -362,7 +391,7 @@ CHECKS: dict[str, str] = {
                WHEN share > 0.22 THEN 'too large' ELSE 'ok' END AS verdict FROM sizes""",
     "min_max": f"WITH {_WIDE} "
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM wide"
+        f"SELECT '{c}' AS column_name, min({c}) AS min, max({c}) AS max FROM wide"
         for c in _COLS
     ),
     "describe": " UNION ALL ".join(_describe(c, "lineitem") for c in _MEASURES),

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyscape.functions.columns import with_default
 from tallyscape.functions.text import snake_name
@@ -21,6 +24,7 @@ from tallyscape.operators import (
 )
 from tallyscape.plans import stages
 from tallyscape.plans.retail import TABLES, Retail
+from tallyscape.session import materialise
 from tallyscape.sources.tables import literal_table, read_query
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,10 +59,17 @@ def table_counts(t: Retail) -> DataFrame:
 
 @query
 def existing_table_counts(t: Retail) -> DataFrame:
-    wanted = ["nation", "part", "customer", "orders", "no_such_table"]
-    for name in wanted[:-1]:
-        t.table(name).createOrReplaceTempView(name)
-    return quality.existing_table_counts(t.spark, wanted)
+    """The given tables as views under a prefix of their own; they are gone when the counts are known."""
+    prefix = f"tallyscape_{uuid4().hex}_"
+    wanted = ["nation", "part", "customer", "orders"]
+    for name in wanted:
+        t.table(name).createOrReplaceTempView(prefix + name)
+    try:
+        found = quality.existing_table_counts(t.spark, [prefix + n for n in [*wanted, "no_such_table"]])
+        return found.withColumn("table_name", F.regexp_replace("table_name", prefix, ""))
+    finally:
+        for name in wanted:
+            t.spark.catalog.dropTempView(prefix + name)
 
 
 @query
@@ -135,11 +146,15 @@ def missing_names(t: Retail) -> DataFrame:
 
 
 def _gappy(t: Retail) -> DataFrame:
-    """Order lines where zero discounts are null, zero taxes NaN, and a flag is missing."""
+    """Order lines with gaps beside the full quantity: the given order tables have none.
+
+    Large quantities and zero discounts are null, zero taxes NaN, and a flag is missing.
+    """
     c = F.col
     return t.table("lineitem").select(
         "l_orderkey",
         "l_linenumber",
+        c("l_quantity").alias("quantity"),
         F.when(c("l_quantity") < 45, c("l_quantity")).alias("l_quantity"),
         F.when(c("l_discount") != 0, c("l_discount")).alias("l_discount"),
         F.when(c("l_tax") == 0, float("nan")).otherwise(c("l_tax")).alias("l_tax"),
@@ -150,6 +165,34 @@ def _gappy(t: Retail) -> DataFrame:
 GAPPY = ["l_quantity", "l_discount", "l_tax"]
 
 
+def _labelled(t: Retail) -> DataFrame:
+    """All documents with their labels; only some have any, so the gaps are real."""
+    labels = t.table("labels").withColumnRenamed("doc_id", "label_id")
+    documents = t.table("documents").select("doc_id", "lang", "source", "n_chars")
+    return documents.join(labels, F.col("doc_id") == F.col("label_id"), "left")
+
+
+@query
+def null_profile_labels(t: Retail) -> DataFrame:
+    return quality.null_profile(_labelled(t), ["doc_id", "n_chars", "quality", "toxic"])
+
+
+@query
+def impute_labels(t: Retail) -> DataFrame:
+    """Missing labels by the mean."""
+    return rounded(clean.impute(_labelled(t).select("doc_id", "quality", "toxic"), "mean", ["quality", "toxic"]))
+
+
+@query
+def fill_labels(t: Retail) -> DataFrame:
+    return clean.fill_missing(_labelled(t).select("doc_id", "quality", "toxic"), ["quality", "toxic"])
+
+
+@query
+def drop_unlabelled(t: Retail) -> DataFrame:
+    return clean.drop_missing(_labelled(t).select("doc_id", "lang", "quality"))
+
+
 @query
 def null_profile(t: Retail) -> DataFrame:
     return quality.null_profile(_gappy(t), [*GAPPY, "l_returnflag"])
@@ -236,12 +279,17 @@ def top10_total(t: Retail) -> DataFrame:
 
 @query
 def long_route_pivot(t: Retail) -> DataFrame:
-    """Drop-incomplete policy: counts of 100 and more are made missing, and their rows left out."""
-    partial = t.long.withColumn("measure", F.when(F.col("measure") < 100, F.col("measure")))
-    wide = stages.widen(partial, "entity_id", "category", "measure", values=t.category_names)
+    """Long rows, complete ones kept (here all), summed into columns."""
+    wide = stages.widen(t.long, "entity_id", "category", "measure", values=t.category_names)
     return reshape.rename(wide, dict(zip(t.category_names, t.measures)))
 
 
+@query
+def long_route_incomplete(t: Retail) -> DataFrame:
+    """The same route where documents without label are incomplete: good documents per source and language."""
+    return stages.widen(_labelled(t), "source", "lang", "quality", values=["de", "en", "es", "fr"])
+
+
 @query
 def reconcile_totals(t: Retail) -> DataFrame:
     """Column sums of the wide table beside totals taken from the order lines and parts alone."""
@@ -268,12 +316,22 @@ def dimension_keys(t: Retail) -> DataFrame:
 
 @query
 def fact_load(t: Retail) -> DataFrame:
-    categories = t.categories.withColumn("column_name", F.regexp_replace(F.lower("category"), "[^0-9a-z]+", "_"))
-    named = t.wide_plan().join(t.entities, "entity_id").drop("entity_id")
-    facts = warehouse.load_facts(named, t.entities, categories, t.measures)
+    facts = warehouse.load_facts(t.wide_plan(), t.entities, _column_names(t), t.measures, entity="entity_id")
     return facts.drop("created_at")
 
 
+def _column_names(t: Retail) -> DataFrame:
+    return t.categories.withColumn("column_name", F.regexp_replace(F.lower("category"), "[^0-9a-z]+", "_"))
+
+
+@query
+def fact_rejects(t: Retail) -> DataFrame:
+    """Counts of customers that a dimension of the solvent ones, without PROMO, does not know."""
+    solvent = t.table("customer").filter(F.col("c_acctbal") >= 0).select(F.col("c_custkey").alias("entity_id"))
+    categories = _column_names(t).filter(F.col("category") != "PROMO")
+    return warehouse.fact_rejects(t.wide_plan(), solvent, categories, t.measures, entity="entity_id")
+
+
 @query
 def seed_ignore_existing(t: Retail) -> DataFrame:
     existing = t.categories
@@ -295,15 +353,23 @@ def fk_valid(t: Retail) -> DataFrame:
     return warehouse.valid_facts(t.table("orders").select("o_orderkey", "o_custkey"), solvent, "o_custkey")
 
 
+@query
+def fk_null_kept(t: Retail) -> DataFrame:
+    """Documents keep their place where the label's key is null; keys of toxic ones are unknown to the dimension."""
+    harmless = t.table("labels").filter(F.col("toxic") == 0).select(F.col("doc_id").alias("label_id"))
+    return warehouse.valid_facts(_labelled(t).select("doc_id", "label_id"), harmless, "label_id")
+
+
 @query
 def apply_defaults(t: Retail) -> DataFrame:
-    lines = _gappy(t).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("fact_id"),
-        F.col("l_orderkey").alias("entity_id"),
-        F.col("l_linenumber").alias("category_id"),
-        F.col("l_quantity").alias("measure"),
+    """Documents as facts of their label; those without label take the default."""
+    rows = _labelled(t).select(
+        F.col("doc_id").alias("fact_id"),
+        F.col("doc_id").alias("entity_id"),
+        F.col("toxic").alias("category_id"),
+        F.col("quality").alias("measure"),
     )
-    return warehouse.conform(lines, warehouse.fact_target()).drop("created_at")
+    return warehouse.conform(rows, warehouse.fact_target()).drop("created_at")
 
 
 @query
@@ -337,14 +403,12 @@ def avg_by_category_period(t: Retail) -> DataFrame:
 
 @query
 def top5_latest_period(t: Retail) -> DataFrame:
-    t = t.with_stored_facts()
     return reports.top_entities_in_latest_period(t.facts, t.entities, t.categories, "PROMO")
 
 
 @query
 def sql_top5_latest_period(t: Retail) -> DataFrame:
     """The same report as SQL text, with the category as a bound value."""
-    t = t.with_stored_facts()
     return read_query(
         t.spark,
         """
@@ -370,13 +434,13 @@ def cluster_sizes(t: Retail) -> DataFrame:
 
 @query
 def entities_per_cluster(t: Retail) -> DataFrame:
-    twice = t.assignment.unionByName(t.assignment)
+    twice = t.assignment.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
     return reports.entities_per_cluster(twice)
 
 
 @query
 def assignment_pairs(t: Retail) -> DataFrame:
-    return reports.assignment_pairs(t.assignment)
+    return reports.assignment_pairs(t.assignment, n=20)
 
 
 @query
@@ -386,7 +450,7 @@ def members_sorted(t: Retail) -> DataFrame:
 
 @query
 def assignment_by_name(t: Retail) -> DataFrame:
-    return reports.assignment_by_name(t.entities, t.assignment)
+    return reports.assignment_by_name(t.entities, t.assignment, n=10)
 
 
 @query
@@ -398,8 +462,19 @@ def category_totals_in_cluster(t: Retail) -> DataFrame:
 @query
 def entity_cluster_report(t: Retail) -> DataFrame:
     t = t.with_stored_facts()
-    small = t.facts.filter(F.col("measure") > 100)
-    return reports.entity_cluster_report(t.assignment, t.entities, small)
+    return reports.entity_cluster_report(t.assignment, t.entities, t.facts)
+
+
+@query
+def left_report_unmatched(t: Retail) -> DataFrame:
+    """The same report over documents and their labels: a document without label has count 0 and no sum."""
+    entity = F.concat(F.lit("document "), F.col("doc_id")).alias("entity")
+    entities = t.table("documents").select(F.col("doc_id").alias("entity_id"), entity)
+    assignment = t.table("documents").select(entity, F.col("lang").alias("cluster_id"))
+    labels = t.table("labels").select(
+        F.col("doc_id").alias("fact_id"), F.col("doc_id").alias("entity_id"), F.col("quality").alias("measure")
+    )
+    return reports.entity_cluster_report(assignment, entities, labels)
 
 
 @query
@@ -531,11 +606,48 @@ def kmeans_raw(t: Retail) -> DataFrame:
     return run.assigned.select("entity_id", "cluster_id", *t.measures)
 
 
+def k_sweep_of(t: Retail) -> DataFrame:
+    placed = cluster.in_fixed_layout(t.wide, "entity_id")
+    return cluster.sweep(cluster.feature_vectors(placed, t.measures))[1]
+
+
 @query
 def k_sweep(t: Retail) -> DataFrame:
-    placed = cluster.in_fixed_layout(t.wide, "entity_id")
-    _, tried = cluster.sweep(cluster.feature_vectors(placed, t.measures))
-    return rounded(tried)
+    return rounded(k_sweep_of(t))
+
+
+@query
+def kmeans_totals(t: Retail) -> DataFrame:
+    """Sizes and column sums over all clusters add up to those of the wide table."""
+    run = stages.cluster(t.wide, "entity_id")
+    sums = [F.sum(c).alias(c) for c in t.measures]
+    per_cluster = run.assigned.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("rows"), *sums)
+    return per_cluster.agg(F.sum("rows").alias("rows"), *sums)
+
+
+@query
+def kmeans_fixed_point(t: Retail) -> DataFrame:
+    """Trained to the end, no row is nearer to another cluster's mean than to its own."""
+    run = stages.cluster(t.wide, "entity_id", max_iter=500, tol=0.0)
+    rows = run.assigned.select("entity_id", F.col("cluster_id").alias("own"), vector_to_array("features").alias("x"))
+    rows = materialise(rows, "trained")
+    means = cluster.moments(rows, "x", "own").select("cluster_id", "centre")
+    nearest = cluster.nearest_centre(rows, F.col("x"), means).join(
+        means.withColumnsRenamed({"cluster_id": "own", "centre": "own_centre"}), "own"
+    )
+    farther = cluster.squared_distance(F.col("x"), F.col("own_centre")) > F.col("distance") + 1e-9
+    return nearest.agg(F.count(F.when(farther, 1)).alias("misplaced"))
+
+
+@query
+def sweep_shape(t: Retail) -> DataFrame:
+    """Every k is tried, one is best, and it has the highest silhouette."""
+    best = F.max(F.struct("silhouette", -F.col("k"))).over(Window.partitionBy())
+    tried = k_sweep_of(t).withColumn("right", F.col("best") == (F.struct("silhouette", -F.col("k")) == best))
+    return tried.agg(
+        F.min("k").alias("least"), F.max("k").alias("most"), F.count_distinct("k").alias("tried"),
+        F.count(F.when(F.col("best"), 1)).alias("best"), F.min("right").alias("right"),
+    )
 
 
 @query

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyscape.functions.text import snake_name
-from tallyscape.operators import cluster, features, keys, reshape, warehouse
+from tallyscape.operators import cluster, features, reshape, warehouse
 from tallyscape.session import materialise
 from tallyscape.sources.files import read_parquet
 
@@ -100,7 +100,7 @@ class Retail:
             self._sales(parts)
             .groupBy("entity_id", "category_id", "period")
             .agg(F.sum("quantity").alias("measure"))
-            .withColumn("fact_id", keys.fact_key(F.col("entity_id"), F.col("category_id"), F.col("period")))
+            .withColumn("fact_id", F.xxhash64("entity_id", "category_id", "period"))
         )
 
     def with_stored_facts(self) -> Retail:

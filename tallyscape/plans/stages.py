@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyscape.functions.columns import measure_columns
-from tallyscape.operators import clean, cluster as kmeans, features, reports, reshape, warehouse
+from tallyscape.operators import clean, cluster as kmeans, features, quality, reports, reshape, warehouse
 from tallyscape.session import materialise
 from tallyscape.sinks.files import write_csv, write_json
+from tallyscape.sinks.jdbc import write_jdbc
 
 
 def ingest(
@@ -67,7 +68,8 @@ def cluster(
     scale: bool = True,
     seed: int | None = None,
     max_iter: int = kmeans.MAX_ITER,
-    rows_per_partition: int = kmeans.ROWS_PER_PARTITION,
+    tol: float = kmeans.TOL,
+    partitions: int = kmeans.PARTITIONS,
 ) -> Run:
     """KMeans over all measures.  ``k="auto"`` takes the k of the best silhouette.
 
@@ -76,13 +78,13 @@ def cluster(
     columns = measure_columns(wide, entity)
     if seed is None:
         seed = kmeans.SEED if scale else kmeans.RAW_SEED
-    placed = kmeans.in_fixed_layout(wide, entity, rows_per_partition).persist()
+    placed = kmeans.in_fixed_layout(wide, entity, partitions).persist()
     try:
         vectors = kmeans.feature_vectors(placed, columns, scale=scale)
         tried = None
         if k == "auto":
             k, tried = kmeans.sweep(vectors, max_k, seed=seed)
-        model = kmeans.fit(vectors, int(k), seed=seed, max_iter=max_iter)
+        model = kmeans.fit(vectors, int(k), seed=seed, max_iter=max_iter, tol=tol)
         done = materialise(model.transform(vectors), "clustered")
     finally:
         placed.unpersist()
@@ -134,11 +136,47 @@ def warehouse_tables(
     }
 
 
-def export(run: Run, folder: str, *, listed: Sequence[str] | None = None) -> None:
+def star_reports(star: Mapping[str, DataFrame], category: str, cluster_id: int = 0, n: int = 5) -> dict[str, DataFrame]:
+    """The usual reports over a star with the tables entity, category, fact and assignment."""
+    entities, categories, facts, assignment = (star[t] for t in ("entity", "category", "fact", "assignment"))
+    return {
+        "table_counts": quality.table_counts(dict(star)),
+        "fact_key_violations": warehouse.key_violations(facts, entities, "entity_id"),
+        "average_by_category_and_period": reports.average_by_category_and_period(facts, categories),
+        "top_entities_in_latest_period": reports.top_entities_in_latest_period(facts, entities, categories, category, n=n),
+        "category_totals_in_cluster": reports.category_totals_in_cluster(
+            facts, entities, categories, assignment, cluster_id
+        ),
+        "cluster_sizes": reports.cluster_sizes(assignment),
+        "entities_per_cluster": reports.entities_per_cluster(assignment),
+        "assignment_pairs": reports.assignment_pairs(assignment),
+        "assignment_by_name": reports.assignment_by_name(entities, assignment),
+        "entity_cluster_report": reports.entity_cluster_report(assignment, entities, facts),
+    }
+
+
+def load_database(
+    tables: Mapping[str, DataFrame], url: str, properties: Mapping[str, str], *, prefix: str = "", mode: str = "overwrite"
+) -> None:
+    """Write the tables of a star to a database, dimensions before facts."""
+    first = [t for t in ("entity", "category") if t in tables]
+    for name in [*first, *(t for t in tables if t not in first)]:
+        write_jdbc(tables[name], url, prefix + name, properties, mode=mode)
+
+
+def export(
+    run: Run, folder: str, *, listed: Sequence[str] | None = None, star: Mapping[str, DataFrame] | None = None
+) -> None:
     """Write every output of a run below ``folder``; a rerun overwrites them.
 
-    ``listed`` are the measures of the short assignment listing, all by default.
+    ``listed`` are the measures of the short assignment listing, all by default.  With ``star`` the report of
+    entities and clusters is written too, and after a sweep the costs and scores of every k.
     """
+    if run.sweep is not None:
+        write_csv(run.sweep, f"{folder}/sweep")
+    if star is not None:
+        report = reports.entity_cluster_report(star["assignment"], star["entity"], star["fact"])
+        write_csv(report, f"{folder}/entity_cluster_report")
     done = run.assigned.select(run.entity, "cluster_id", *run.columns)
     assignment = done.select(run.entity, "cluster_id")
     write_csv(reports.cluster_sizes(assignment), f"{folder}/cluster_sizes")

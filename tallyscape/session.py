@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,13 +33,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
     created = tempfile.mkdtemp(prefix="tallyscape-")
     spark.conf.set(CHECKPOINT_DIR, created)
     return created
 
 
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what ``materialise`` writes inside the block.
+
+    Results still to be read have to be written elsewhere before the block ends.
+    """
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN.remove(paths)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(hadoop).delete(where, True)
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -54,5 +78,7 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
             f"{name}-{uuid.uuid4().hex}",
         ]
     )
+    for paths in _OPEN:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -62,8 +62,20 @@ def test_nearest_centre_and_its_ties(spark, points):
 
 def test_too_many_centres_raise(spark, points):
     centres = spark.createDataFrame([(i, [0.0, 0.0]) for i in range(4)], "cluster_id int, centre array<double>")
-    with pytest.raises(Exception, match="more than 3 clusters"):
-        cluster.nearest_centre(points, features.as_array(["x", "y"]), centres, max_clusters=3).collect()
+    with pytest.raises(Exception, match="more than 90 bytes"):
+        cluster.nearest_centre(points, features.as_array(["x", "y"]), centres, max_bytes=90).collect()
+
+
+def test_a_missing_feature_has_no_nearest_centre(spark, points):
+    centres = spark.createDataFrame([(0, [0.0, 0.0])], "cluster_id int, centre array<double>")
+    gap = points.withColumn("y", F.when(F.col("id") > 0, F.col("y")))
+    got = cluster.nearest_centre(gap, features.as_array(["x", "y"]), centres).orderBy("id")
+    assert rows(got.select("cluster_id", "distance"))[0] == (None, None)
+
+
+def test_one_cluster_has_no_silhouette(points):
+    with pytest.raises(Exception, match="two clusters"):
+        cluster.silhouettes(points.withColumn("label", F.lit(1)), "v", "label").collect()
 
 
 def test_canonical_ids(spark):

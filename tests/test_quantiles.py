@@ -7,6 +7,7 @@ from helpers import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import tallyscape.operators.quantiles as module
 from tallyscape.operators.quantiles import quantiles
 from tallyscape.operators.stats import correlations, describe, min_max
 
@@ -24,19 +25,19 @@ def test_one_value_holds_a_third_of_the_rows(spark):
     rng = random.Random(1)
     values = [rng.gauss(0, 100) for _ in range(3000)] + [7.5] * 1500 + [None, math.nan]
     check(spark, values)
-    check(spark, values, buckets=4)
+    check(spark, values, grid=8, accuracy=100, held=50)
 
 
 def test_values_on_very_different_scales(spark):
     rng = random.Random(2)
-    check(spark, [rng.choice([1e-300, 1e-9, 1.0, 1e9, 1e300, -1e308, 1e308]) * rng.random() for _ in range(500)], buckets=8)
+    check(spark, [rng.choice([1e-300, 1e-9, 1.0, 1e9, 1e300, -1e308, 1e308]) * rng.random() for _ in range(500)], grid=16, accuracy=100, held=20)
 
 
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=1, max_size=40))
 def test_any_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = quantiles(df, ["v"], [0.0, 1.0], buckets=3)["v"]
+    got = quantiles(df, ["v"], [0.0, 1.0], grid=4, accuracy=50, held=5)["v"]
     assert got == [min(values), max(values)]
 
 
@@ -63,6 +64,7 @@ def test_describe_and_min_max(spark):
     assert [a["q25"], a["q50"], a["q75"]] == list(np.quantile(values[:4], [0.25, 0.5, 0.75]))
     assert by_name["flat"]["std"] == 0.0
     assert rows(min_max(df, ["a", "flat"])) == [("a", 1.0, 9.0), ("flat", 3.0, 3.0)]
+    assert min_max(df, ["flat"]).dtypes[1] == ("min", "int")
 
 
 def test_correlation_of_a_flat_column_is_null(spark):
@@ -72,3 +74,20 @@ def test_correlation_of_a_flat_column_is_null(spark):
     full = [(a, b) for a, b, _ in data if b is not None]
     assert got["a", "b"] == pytest.approx(np.corrcoef(*zip(*full))[0, 1])
     assert got["a", "c"] is None and got["b", "c"] is None
+
+
+@pytest.mark.parametrize("kind", ["geometric", "lognormal", "constant", "two values"])
+def test_few_passes_on_any_distribution(spark, kind, monkeypatch):
+    rng = np.random.default_rng(4)
+    values = {
+        "geometric": [1.5**i for i in range(1000)],
+        "lognormal": rng.lognormal(0, 5, 5000).tolist(),
+        "constant": [3.0] * 3000 + rng.normal(size=50).tolist(),
+        "two values": [1.0] * 2000 + [2.0] * 2000 + [1.5],
+    }[kind]
+    passes = []
+    for name in ("_probe", "_count"):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, real=real: passes.append(1) or real(*a))
+    check(spark, values, held=300)
+    assert len(passes) <= 4

@@ -4,20 +4,18 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyscape.operators import keys, reshape, warehouse
+from tallyscape.operators import keys, reshape, stats, warehouse
 
 LONG = [("b", "x", 1), ("b", "y", 2), ("a", "x", 3), ("a", "x", 4), ("c", "z", 5)]
 
 
-@pytest.mark.parametrize("conditional", [0, 48])
-def test_pivot_sums_and_fills(spark, monkeypatch, conditional):
-    monkeypatch.setattr(reshape, "CONDITIONAL_SUMS", conditional)
-    df = spark.createDataFrame(LONG, "e string, `Jenis Kasus` string, `Jumlah Kasus` int")
-    wide = reshape.to_wide(df, "e", "Jenis Kasus", "Jumlah Kasus")
+def test_pivot_sums_and_fills(spark):
+    df = spark.createDataFrame(LONG, "e string, `Kind` string, `Cases` int")
+    wide = reshape.to_wide(df, "e", "Kind", "Cases")
     assert wide.columns == ["e", "x", "y", "z"]
     assert bag(wide) == [("a", 7, 0, 0), ("b", 1, 2, 0), ("c", 0, 0, 5)]
-    gaps = reshape.to_wide(df, "e", "Jenis Kasus", "Jumlah Kasus", values=["z", "x"], fill=None)
-    assert bag(gaps) == [("a", None, 7), ("b", None, 1), ("c", 5, None)]
+    gaps = reshape.to_wide(df, "e", "Kind", "Cases", values=["z", "x"], fill=None, other="more")
+    assert bag(gaps) == [("a", None, 7, None), ("b", None, 1, 2), ("c", 5, None, None)]
 
 
 def test_pivot_sum_beyond_int(spark):
@@ -62,16 +60,58 @@ def test_dense_keys_follow_the_order(spark, coalesce):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_fact_key_is_unique_and_checked(spark):
-    parts = [(e, c, p) for e in (0, 1, 2**36 - 1) for c in (0, 1, 2**14 - 1) for p in (0, 2024, 2**13 - 1)]
-    df = spark.createDataFrame(parts, "e long, c long, p int")
-    made = df.select(keys.fact_key(F.col("e"), F.col("c"), F.col("p")).alias("k"))
-    assert made.distinct().count() == len(parts) and made.filter("k < 0").count() == 0
-    for bad in [(1, 2**14, 1), (1, 1, None), (2**36, 1, 1)]:
-        with pytest.raises(Exception, match="out of range"):
-            spark.createDataFrame([bad], "e long, c long, p int").select(
-                keys.fact_key(F.col("e"), F.col("c"), F.col("p"))
-            ).collect()
+def test_fact_keys_have_no_bounds_and_repeats_raise(spark):
+    wide = spark.createDataFrame([(f"e{i}", i, 2 * i, 202401) for i in range(50)], "entity string, a int, b int, year int")
+    entities = warehouse.dimension(wide, "entity", key="entity_id")
+    categories = spark.createDataFrame([(100_000, "A", "a"), (7, "B", "b")], "category_id long, category string, column_name string")
+    facts = warehouse.load_facts(wide, entities, categories, ["a", "b"], period="year")
+    assert sorted(r["fact_id"] for r in facts.collect()) == list(range(1, 101))
+    assert {r["period"] for r in facts.collect()} == {202401}
+    with pytest.raises(ValueError, match="more than one fact"):
+        warehouse.load_facts(wide.union(wide), entities, categories, ["a", "b"], period="year")
+
+
+def test_facts_and_rejects_equal_the_input(spark):
+    wide = spark.createDataFrame([("p", 1, 2), ("q", 3, 4), (None, 5, 6)], "entity string, a int, b int")
+    entities = spark.createDataFrame([(1, "p")], "entity_id long, entity string")
+    categories = spark.createDataFrame([(1, "A", "a")], "category_id long, category string, column_name string")
+    rejects = warehouse.fact_rejects(wide, entities, categories, ["a", "b"])
+    assert bag(rejects.select("entity", "column_name", "missing")) == bag(
+        spark.createDataFrame(
+            [("p", "b", "category"), ("q", "a", "entity"), ("q", "b", "entity"), (None, "a", "entity"), (None, "b", "entity")],
+            "e string, c string, m string",
+        )
+    )
+    kept = warehouse.load_facts(wide, entities, categories, ["a", "b"], skip_rejects=True)
+    assert kept.count() + rejects.count() == 6
+    with pytest.raises(Exception, match="no id for"):
+        warehouse.load_facts(wide, entities, categories, ["a", "b"])
+
+
+def test_null_keys_are_valid_and_nothing_is_lost(spark):
+    facts = spark.createDataFrame([(1, 1), (2, 9), (3, None)], "f int, k long")
+    known = spark.createDataFrame([(1,)], "k long")
+    good, bad = warehouse.valid_facts(facts, known, "k"), warehouse.key_violations(facts, known, "k")
+    assert bag(good.select("f")) == [(1,), (3,)] and bag(bad.select("f")) == [(2,)]
+
+
+def test_name_rejects_and_repeated_values(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "x" * 101), (4, None)], "entity_id long, entity string")
+    target = warehouse.entity_target()
+    assert bag(warehouse.name_rejects(df, target).select("entity_id")) == [(3,), (4,)]
+    assert bag(warehouse.repeated_values(df, target)) == [("entity", "a", 2)]
+    assert warehouse.repeated_values(df, warehouse.fact_target()).count() == 0
+
+
+def test_pivot_keeps_types_and_loses_no_row(spark):
+    df = spark.createDataFrame([("a", "k.0", "0.10"), ("a", "k.0", "0.20"), ("b", "z", "1"), ("b", None, "2")], "e string, c string, m string")
+    df = df.withColumn("m", F.col("m").cast("decimal(10,2)"))
+    wide = reshape.to_wide(df, "e", "c", "m", values=["k.0"], other="rest")
+    assert [str(v) for v in sorted(bag(wide))[0][1:]] == ["0.30", "0.00"] and str(sorted(bag(wide))[1][2]) == "3.00"
+    with pytest.raises(Exception, match="category not listed"):
+        reshape.to_wide(df, "e", "c", "m", values=["k.0"]).collect()
+    big = spark.createDataFrame([(9007199254740993,)], "v long")
+    assert rows(stats.min_max(big, ["v"])) == [("v", 9007199254740993, 9007199254740993)]
 
 
 def test_conform_casts_defaults_and_checks(spark):

@@ -1,10 +1,12 @@
+from pathlib import Path
+
 import pytest
 from helpers import bag, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyscape.operators import quality
-from tallyscape.session import checkpoint_dir, materialise
+from tallyscape.session import checkpoint_dir, intermediate_tables, materialise
 from tallyscape.sinks.files import write_csv, write_json, write_parquet
 from tallyscape.sinks.jdbc import jdbc_options
 from tallyscape.sources.files import read_declared_csv, read_inferred_csv, read_parquet
@@ -48,7 +50,8 @@ def test_inferred_csv(spark, tmp_path):
 def test_publication_sheet(spark, tmp_path):
     path = tmp_path / "sheet.csv"
     path.write_text(SHEET, encoding="utf8")
-    body, totals = read_publication_csv(spark, str(path), rename={"hiv_all_cases": "hiv_total"})
+    body, totals, rejects = read_publication_csv(spark, str(path), rename={"hiv_all_cases": "hiv_total"})
+    assert rejects.count() == 0
     assert body.columns == ["entity", "fever_suspect", "cough", "hiv_new_cases", "hiv_total", "other"]
     assert bag(body) == [
         ("Lower East", 0, None, 1000, None, None),
@@ -60,6 +63,16 @@ def test_publication_sheet(spark, tmp_path):
     assert checked == {"fever_suspect": True, "cough": True, "hiv_new_cases": True, "hiv_total": True, "other": None}
 
 
+def test_publication_rows_that_fit_nowhere(spark, tmp_path):
+    path = tmp_path / "sheet.csv"
+    path.write_text(SHEET + "101 Far,1,2,3,4,5\n7 Near,n.a.,1,1,1,1\n8 Wide,1,2,3,4,5,6\n,1,2,3,4,5\n9 Short,1,2\n", encoding="utf8")
+    body, totals, rejects = read_publication_csv(spark, str(path))
+    assert body.count() == 4 and totals.count() == 1
+    assert sorted(r["reason"] for r in rejects.collect()) == ["no label", "not a number", "too few cells", "too many cells"]
+    with pytest.raises(ValueError, match="file ends"):
+        read_publication_csv(spark, str(path), header_lines=(98, 99))
+
+
 def test_merged_heads_reach_right_only_over_sub_columns():
     assert merge_header(["A", "HIV ", "", "", "B"], ["", "New", "All", "", ""]) == ["a", "hiv_new", "hiv_all", "", "b"]
 
@@ -96,6 +109,26 @@ def test_jdbc_settings_without_a_database(spark):
         read_jdbc(spark, "jdbc:x:y", "t", {}, partition_column="id")
 
 
+def test_intermediate_tables_are_deleted(spark):
+    with intermediate_tables(spark):
+        stored = materialise(spark.range(3))
+        path = Path(stored.inputFiles()[0].replace("file://", "").replace("file:", "")).parent
+        assert path.exists() and stored.count() == 3
+    assert not path.exists()
+
+
+def test_a_cluster_must_name_its_folder(spark):
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
 def test_materialise_reads_back_the_same(spark):
     df = spark.range(10).withColumn("v", F.array(F.col("id").cast("double")))
     stored = materialise(df)

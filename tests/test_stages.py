@@ -38,7 +38,7 @@ def filled(raw):
 
 @pytest.fixture(scope="module")
 def run(filled):
-    return stages.cluster(filled, ENTITY)
+    return stages.cluster(filled, ENTITY, partitions=1)
 
 
 def test_33_districts_and_their_top_ten(filled):
@@ -57,7 +57,7 @@ def test_known_clusters(run):
 
 
 def test_sweep_finds_the_known_best_k(filled):
-    placed = cluster.in_fixed_layout(filled, ENTITY)
+    placed = cluster.in_fixed_layout(filled, ENTITY, 1)
     best, tried = cluster.sweep(cluster.feature_vectors(placed, MEASURES + ZERO_MEASURES))
     assert best == 2
     for k, cost, silhouette, is_best in rows(tried):
@@ -67,7 +67,7 @@ def test_sweep_finds_the_known_best_k(filled):
 
 
 def test_auto_k(filled):
-    run = stages.cluster(filled, ENTITY, k="auto", max_k=3)
+    run = stages.cluster(filled, ENTITY, k="auto", max_k=3, partitions=1)
     assert run.k == 2 and run.sweep.count() == 2
 
 
@@ -76,7 +76,7 @@ def test_result_does_not_depend_on_the_input_layout(spark):
     df = spark.createDataFrame(data, "k long, a double, b double, c double")
     outcomes = []
     for layout in (df.repartition(1), df.repartition(7), df.repartition(4, "a")):
-        run = stages.cluster(layout, "k", rows_per_partition=100)
+        run = stages.cluster(layout, "k", partitions=4)
         outcomes.append((bag(run.assigned.select("k", "cluster_id")), round(run.cost, 9)))
     assert outcomes[0] == outcomes[1] == outcomes[2]
 
@@ -84,7 +84,7 @@ def test_result_does_not_depend_on_the_input_layout(spark):
 def test_every_row_is_at_its_nearest_centre(spark):
     data = [(i, float(i % 17), float((i * 7) % 23)) for i in range(300)]
     df = spark.createDataFrame(data, "k long, a double, b double")
-    vectors = cluster.feature_vectors(cluster.in_fixed_layout(df, "k", 100), ["a", "b"])
+    vectors = cluster.feature_vectors(cluster.in_fixed_layout(df, "k", 3), ["a", "b"])
     model = cluster.fit(vectors, 5)
     centres = spark.createDataFrame(
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster_id int, centre array<double>"
@@ -111,7 +111,7 @@ def test_long_route_drops_incomplete_rows(spark):
     )
     wide = stages.widen(reshape.rename(long, {"Jumlah Kasus": "m"}), "e", "c", "m")
     assert bag(wide) == [("a", 1, 0), ("b", 2, 3)]
-    run = stages.cluster(wide, "e", k=2, scale=False)
+    run = stages.cluster(wide, "e", k=2, scale=False, partitions=1)
     assert bag(run.assigned.select("e", "cluster_id")) == [("a", 0), ("b", 1)]
 
 
@@ -176,6 +176,42 @@ def test_jobs_from_csv_to_outputs(spark, tmp_path):
     jobs.main(["transform", "--input", at["clean"], "--output", at["filled"], "--entity", "name"])
     jobs.main(["cluster", "--input", at["filled"], "--output", at["clustered"], "--entity", "name", "--export", at["out"], "--warehouse", at["star"]])
     assert spark.read.parquet(f"{at['star']}/fact").count() == 33 * len(MEASURES)
+    report = spark.read.option("header", True).csv(f"{at['out']}/entity_cluster_report")
+    assert report.count() == 33 and {r["facts"] for r in report.collect()} == {str(len(MEASURES))}
+    jobs.main(["report", "--input", at["star"], "--output", str(tmp_path / "reports"), "--category", "dbd"])
+    top = spark.read.option("header", True).csv(str(tmp_path / "reports/top_entities_in_latest_period"))
+    assert [r["entity"] for r in top.collect()][:2] == ["Deli Serdang", "M e d a n"]
     done = spark.read.parquet(at["clustered"])
     assert quality.row_count(done).first()["rows"] == 33
     assert {"features_raw", "features", "prediction", "cluster_id"} <= set(done.columns)
+
+
+def test_ingest_stops_at_lines_that_do_not_fit(spark, tmp_path):
+    source = tmp_path / "bad.csv"
+    source.write_text("name,x\nA,1\nB,2 121\n")
+    wanted = ["ingest", "--input", str(source), "--output", str(tmp_path / "o"), "--entity", "name", "--schema", "name string, x int"]
+    with pytest.raises(SystemExit):
+        jobs.main(wanted)
+    jobs.main([*wanted, "--rejects", str(tmp_path / "bad")])
+    assert bag(spark.read.parquet(str(tmp_path / "o"))) == [("A", 1)]
+    assert [r["_line"] for r in spark.read.json(str(tmp_path / "bad")).collect()] == ["B,2 121"]
+
+
+def test_database_load_in_order_without_a_database(run, monkeypatch):
+    written = []
+    monkeypatch.setattr(stages, "write_jdbc", lambda df, url, table, properties, mode: written.append((table, url, mode)))
+    stages.load_database(stages.warehouse_tables(run), "jdbc:x:y", {"user": "u"}, prefix="p_")
+    assert [w[0] for w in written][:2] == ["p_entity", "p_category"] and len(written) == 5
+    assert set(written) == {(t, "jdbc:x:y", "overwrite") for t, _, _ in written}
+
+
+def test_sweep_is_exported(filled, spark, tmp_path):
+    found = stages.cluster(filled, ENTITY, k="auto", max_k=3, partitions=1)
+    stages.export(found, str(tmp_path))
+    assert [r["k"] for r in spark.read.option("header", True).csv(f"{tmp_path}/sweep").collect()] == ["2", "3"]
+
+
+def test_a_repeated_key_is_refused(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "e string, x double")
+    with pytest.raises(ValueError, match="not unique"):
+        stages.cluster(df, "e", k=2)
