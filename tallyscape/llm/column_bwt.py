@@ -14,6 +14,7 @@ A crowded anchor is dealt to several tasks; windows found once in a task are the
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,15 @@ SYMBOLS = repeats.Symbols(by_word=False, window=WINDOW, gram=64)
 REACH, GRAM = SYMBOLS.reach, SYMBOLS.gram
 WIDTH = 2 * REACH + GRAM
 CROWD = 256  # classes that meet in one task
+STEP = 16  # neighbouring windows that are handed on together
 BATCH = 8192  # segments whose columns are inserted together
 
 
-def shared_windows(segments: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray) -> np.ndarray:
+def shared_windows(
+    segments: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """(m, REACH + 1) flags: [i, l] if the window that starts l bytes before the anchor of segment i occurs in
-    another segment of its group.
+    another segment of its group.  And flags of the same shape for all but the first such segment in suffix order.
 
     ``segments`` is (m, WIDTH) bytes with the anchor at REACH; ``left`` and ``right`` say how many bytes before and
     behind the anchor belong to the text.  ``group`` is sorted.
@@ -42,7 +46,7 @@ def shared_windows(segments: np.ndarray, left: np.ndarray, right: np.ndarray, gr
     m = len(segments)
     order = np.arange(m)
     common = np.zeros(m + 1, np.int32)  # [t]: common prefix of the segments ranked t - 1 and t
-    flags = np.zeros((m, REACH + 1), bool)
+    flags, later = np.zeros((m, REACH + 1), bool), np.zeros((m, REACH + 1), bool)
     base = (np.cumsum(np.concatenate([[0], group[1:] != group[:-1]])) * 257).astype(np.int64)
 
     def insert(column: int) -> None:
@@ -70,6 +74,7 @@ def shared_windows(segments: np.ndarray, left: np.ndarray, right: np.ndarray, gr
     def look(back: int) -> None:
         full = common >= WINDOW
         flags[order, back] = full[:-1] | full[1:]
+        later[order, back] = full[:-1]
 
     for column in range(WIDTH - 1, REACH + GRAM - 1, -1):
         insert(column)
@@ -80,7 +85,7 @@ def shared_windows(segments: np.ndarray, left: np.ndarray, right: np.ndarray, gr
     for back in range(1, REACH + 1):
         insert(REACH - back)
         look(back)
-    return flags
+    return flags, later
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,8 +124,8 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of segments to runs that occur again, and for dealt anchors the windows still open."""
+def _compare(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Groups of segments to runs that occur again, and for dealt anchors each different window once."""
     held: list[pa.Table] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
@@ -132,35 +137,43 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = rows.column("bytes").to_pylist()
         segments = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, WIDTH)
         left, right, start = (rows.column(c).to_numpy().astype(np.int64) for c in ("left", "right", "start"))
-        flags = shared_windows(segments, left, right, group)
+        flags, later = shared_windows(segments, left, right, group)
         step = np.diff(np.pad(flags, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         at, low = np.nonzero(step == 1)
         _, high = np.nonzero(step == -1)
         digests = rows.column("digest").to_pylist()
         out = [
-            (digests[i], int(start[i] - b + 1), int(start[i] - a + WINDOW), None, None)
+            (digests[i], int(start[i] - b + 1), int(start[i] - a + WINDOW), *[None] * 5)
             for i, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True)
         ]
-        dealt = (rows.column("crowd").to_numpy() > CROWD) & ~rows.column("settled").to_numpy(zero_copy_only=False)
-        for i in np.flatnonzero(dealt).tolist():
-            own = segments[i, REACH - left[i] : REACH + GRAM + right[i]]
-            h1, h2 = (rolling.grams(rolling.VALUES[own], WINDOW, b).view(np.int64) for b in rolling.BASES)
+        tiles = rows.column("tile").to_pylist()
+        for i in np.flatnonzero(rows.column("crowd").to_numpy() > most).tolist():
+            first = REACH - left[i]
+            values = rolling.VALUES[segments[i, first : REACH + GRAM + right[i]]]
+            h1, h2 = (rolling.grams(values, WINDOW, b).view(np.int64) for b in rolling.BASES)
             back = left[i] - np.arange(len(h1))  # window j starts so many bytes before the anchor
-            ok = back >= 0
-            ok[ok] = ~flags[i, back[ok]]
-            for j in np.flatnonzero(ok).tolist():
-                a = int(start[i] - back[j])
-                out.append((digests[i], a, a + WINDOW, int(h1[j]), int(h2[j])))
+            mine = np.flatnonzero(back >= 0)
+            mine = mine[~later[i, back[mine]]]
+            if not len(mine):
+                continue
+            sums, step = rolling.running(values), back[mine] // STEP
+            begin = left[i] - step * STEP
+            end = left[i] - np.minimum(step * STEP + STEP - 1, REACH) + WINDOW
+            core = (rolling.ranges(sums, begin, end) + step.astype(np.uint64)).view(np.int64)
+            for part in np.split(np.arange(len(mine)), np.flatnonzero(np.diff(step)) + 1):
+                at = mine[part]
+                starts = (start[i] - back[at]).tolist()
+                out.append((digests[i], None, None, tiles[i], int(core[part[0]]), starts, h1[at].tolist(), h2[at].tolist()))
         if out:
-            kinds = (pa.binary(), *[pa.int64()] * 4)
+            kinds = (pa.binary(), *[pa.int64()] * 4, *[pa.list_(pa.int64())] * 3)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                ["digest", "start", "end", "h1", "h2"],
+                ["digest", "start", "end", "tile", "core", "starts", "h1s", "h2s"],
             )
 
     size = 0
     for rows in runs(batches, "tile"):
-        if rows.num_rows < 2 and rows.column("crowd")[0].as_py() <= CROWD:
+        if rows.num_rows < 2 and rows.column("crowd")[0].as_py() <= most:
             continue
         held.append(rows)
         size += rows.num_rows
@@ -170,7 +183,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def repeated_runs(texts: DataFrame) -> DataFrame:
+def repeated_runs(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
     """digest, start, end of bytes covered by strings that occur anywhere else."""
     made = on_workers(texts).mapInArrow(
         _segments,
@@ -179,21 +192,25 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     made = repeats.materialise(made, "segments")
     again = made.filter("anchor is null").select("digest", "start", "end")
     # Texts of a crowd are dealt by digest, so equal parts of one text stay together.
-    chunk = F.when(F.col("crowd") > CROWD, F.pmod(F.xxhash64("digest"), F.ceil(F.col("crowd") / CROWD))).otherwise(0)
+    chunk = F.when(F.col("crowd") > crowd, F.pmod(F.xxhash64("digest"), F.ceil(F.col("crowd") / crowd))).otherwise(0)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = made.filter("anchor is not null").withColumn("tile", F.xxhash64("anchor", chunk))
     dealt = dealt.repartition(parts, "tile").sortWithinPartitions("tile")
     found = repeats.materialise(
-        dealt.drop("anchor", "end").mapInArrow(_compare, "digest binary, start long, end long, h1 long, h2 long"), "matches"
+        dealt.drop("anchor", "end").mapInArrow(
+            partial(_compare, most=crowd), "digest binary, start long, end long, " + repeats.OPEN_COLUMNS
+        ),
+        "matches",
     )
-    open_ = found.filter("h1 is not null")
-    met = open_.groupBy("h1", "h2").agg(F.min(F.struct("digest", "start")).alias("a"), F.max(F.struct("digest", "start")).alias("b"))
-    settled = open_.join(met.filter("a < b").select("h1", "h2"), ["h1", "h2"])
-    columns = ["digest", "start", "end"]
-    return again.unionByName(found.filter("h1 is null").select(columns)).unionByName(settled.select(columns))
+    # A window with several anchors is handed on by each, so places are told apart, not rows.
+    place = F.struct("digest", "start")
+    open_ = repeats.open_windows(found, ["digest"])
+    met = open_.groupBy("h1", "h2").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a < b").select("h1", "h2")
+    settled = open_.join(met, ["h1", "h2"]).select("digest", "start", (F.col("start") + WINDOW).alias("end"))
+    return again.unionByName(found.filter("core is null").select("digest", "start", "end")).unionByName(settled)
 
 
-def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: each document without bytes that recur in 400-byte strings.
 
     Texts are UTF-8 bytes, null ones empty.  All occurrences go, in whichever document, the same one included.
@@ -202,7 +219,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     signed = repeats.signatures(docs, doc_id, text, SYMBOLS)
     classes = repeats.classes_of(signed)
     texts = repeats.candidates(docs, doc_id, text, signed, classes, by_owner=False)
-    done = repeats.remove(repeated_runs(texts), texts, SYMBOLS).select(
+    done = repeats.remove(repeated_runs(texts, crowd), texts, SYMBOLS).select(
         "digest", F.col("n_removed").alias("gone"), "n_spans", F.col("sha").alias("new")
     )
     known = classes.select("digest", "copies").join(done, "digest", "left")

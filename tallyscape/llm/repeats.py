@@ -143,7 +143,7 @@ def candidates(
     if by_owner:
         met = materialise(met.select("digest", "first_id", "anchor", F.col("owner").alias("place")), "shared")
         crowd = met.groupBy("place", "digest").agg(F.lit(1).alias("one")).groupBy("place").agg(F.count("*").alias("crowd"))
-        met = met.join(crowd, "place")
+        met = met.join(materialise(crowd, "crowds"), "place")
     else:
         met = met.withColumn("place", F.col("anchor"))
     held = met.groupBy("digest").agg(
@@ -178,6 +178,23 @@ def read_candidates(batches: Iterator[pa.RecordBatch], symbols: Symbols):
                 yield digest, columns["first_id"][first + t].as_py(), own, values, at[hit], known[pick], place[pick], crowd[pick]
 
 
+def open_windows(found: DataFrame, keep: list[str]) -> DataFrame:
+    """The windows, with their hashes h1 and h2, that may occur in more than one task.
+
+    A task hands on what it found once as classes of neighbouring windows, cut at places that the text itself
+    determines.  All windows of a class hold its core; a core that one task alone has rules them out together.
+    """
+    classes = found.filter("core is not null")
+    met = classes.groupBy("core").agg(F.min("tile").alias("a"), F.max("tile").alias("b")).filter("a < b").select("core")
+    each = F.explode(F.arrays_zip("starts", "h1s", "h2s")).alias("w")
+    left = classes.join(materialise(met, "cores"), "core").select(*keep, each)
+    return left.select(*keep, F.col("w.starts").alias("start"), F.col("w.h1s").alias("h1"), F.col("w.h2s").alias("h2"))
+
+
+#: Columns in which a task hands on runs, or (with a core) classes of open windows.
+OPEN_COLUMNS = "tile long, core long, starts array<long>, h1s array<long>, h2s array<long>"
+
+
 def remove(found: DataFrame, texts: DataFrame, symbols: Symbols) -> DataFrame:
     """digest, n_removed, n_spans, sha: candidates without what the runs (digest, start, end) cover."""
     runs = found.groupBy("digest").agg(

@@ -111,6 +111,23 @@ def minima(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(np.concatenate(out)) if len(out) > 1 else out[0]
 
 
+def window_minima(values: np.ndarray, k: int, window: int) -> np.ndarray:
+    """For every window of one text, the place of the anchor it chooses."""
+    hashes, width = grams(values, k), window - k + 1
+    count = len(hashes) - width + 1
+    if count < 1:
+        return np.zeros(0, np.int64)
+    places = minima(hashes, width)
+    # Of the chosen places in a window, the smallest hash counts, the first of equal ones.
+    best = np.full(count, -1, np.int64)
+    kept = hashes >> U(22 + (width >> 21)) << U(22 + (width >> 21))
+    for p in places.tolist():
+        span = np.arange(max(0, p - width + 1), min(count, p + 1))
+        old = best[span]
+        best[span] = np.where((old < 0) | (kept[p] < kept[old]), p, old)
+    return best
+
+
 def anchors(values: np.ndarray, bounds: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor runs of k symbols: (text number, position within the text, hash).
 
