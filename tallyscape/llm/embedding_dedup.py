@@ -76,7 +76,7 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [None if v is None or None in v else np.array(v, np.float64) for v in vectors.to_pylist()]
         good = [
             i for i, v in enumerate(rows)
-            if v is not None and len(v) and np.isfinite(v).all() and v.any() and labels[i].is_valid
+            if v is not None and len(v) and np.isfinite(v).all() and v.any() and labels[i].is_valid and ids[i].is_valid
         ]
         dims, raw, codes, factors, buckets = ([None] * len(rows) for _ in range(5))
         by_dim: dict[int, list[int]] = {}
@@ -147,7 +147,7 @@ def near_duplicates(
     """vec_id, n_links, component_id, kept: one row per vector.
 
     Vectors are compared where labels are equal and lengths too.  Null, empty and zero vectors, those with null
-    or non-finite components, and those without label link with nothing.  Equal vectors are compared once and
+    or non-finite components, and those without label or id link with nothing.  Equal vectors are compared once and
     counted as often as they occur.  A bucket with many vectors is cut into tiles of bounded size that meet in
     pairs; a tile returns counts and a few links, never its pairs.  ``kept`` is vec_id = component_id.
     """

@@ -250,7 +250,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         again = re.compile(r"(?<!\w)(" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w)")
         found += [(m.start(), m.end(), "name", names[m[0]]) for m in again.finditer(text)]
     out: list[tuple[int, int, str, str]] = []
-    rank = {t: i for i, t in enumerate(("email", "ip", "card", "iban", "phone", "name"))}
+    rank = {t: i for i, t in enumerate(("email", "ip", "iban", "card", "phone", "name"))}
     taken: list[tuple[int, int, str, str]] = []
     for kind in sorted(rank, key=rank.get):
         ends = sorted((e for e in taken), key=lambda e: e[0])

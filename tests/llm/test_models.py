@@ -85,9 +85,11 @@ def test_linked_vectors(spark, monkeypatch, tile):
         rows.append((i, [float(c) for c in np.float32(x * rng.choice([1, 5]))], int(i % 12 > 7)))
     rows += [
         (500, None, 0), (501, [0.0] * 32, 0), (502, [float("nan")] * 32, 0), (503, [None] * 32, 0), (504, [], 0),
-        (505, rows[0][1], None), (506, rows[0][1][:8], 0), (507, rows[0][1], 0), (508, [float("inf")] * 32, 0),
+        (505, rows[0][1], None), (506, rows[0][1][:8], 0), (507, rows[0][1], 0), (508, [float("inf")] * 32, 0), (None, rows[0][1], 0),
     ]
     got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    assert got.pop(None).n_links == 0
+    rows.pop()
     good = [(i, np.array(x), y) for i, x, y in rows if i < 500 or i in (506, 507)]
     unit = {i: x / np.linalg.norm(x) for i, x, _ in good}
     label = {i: (y, len(x)) for i, x, y in good}
