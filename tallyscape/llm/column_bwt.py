@@ -106,7 +106,6 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(len(place)):
                 seen.setdefault((raw[i], int(left[i]), int(right[i])), []).append(i)
             keep = [v[0] for v in seen.values()]
-            twice = {v[0] for v in seen.values() if len(v) > 1}
             again = [i for v in seen.values() if len(v) > 1 and left[v[0]] + GRAM + right[v[0]] >= WINDOW for i in v]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -117,10 +116,9 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([*[None] * len(keep), *(place[again] + GRAM + right[again]).tolist()], pa.int64()),
                     pa.array([*left[keep].tolist(), *[None] * len(again)], pa.int32()),
                     pa.array([*right[keep].tolist(), *[None] * len(again)], pa.int32()),
-                    pa.array([*[i in twice for i in keep], *[True] * len(again)]),
                     pa.array([*[raw[i] for i in keep], *[None] * len(again)], pa.binary()),
                 ],
-                ["digest", "anchor", "crowd", "start", "end", "left", "right", "settled", "bytes"],
+                ["digest", "anchor", "crowd", "start", "end", "left", "right", "bytes"],
             )
 
 
@@ -187,7 +185,7 @@ def repeated_runs(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
     """digest, start, end of bytes covered by strings that occur anywhere else."""
     made = on_workers(texts).mapInArrow(
         _segments,
-        "digest binary, anchor long, crowd long, start long, end long, left int, right int, settled boolean, bytes binary",
+        "digest binary, anchor long, crowd long, start long, end long, left int, right int, bytes binary",
     )
     made = repeats.materialise(made, "segments")
     again = made.filter("anchor is null").select("digest", "start", "end")
