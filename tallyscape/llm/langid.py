@@ -25,6 +25,7 @@ WIDTHS = (2, 3, 4)
 EMBEDDED, FILTERS = 8, 10
 SAMPLE = 8192  # windows the network is trained on, at most
 EPOCHS = 6
+BLOCK = 512  # windows judged at a time
 UNKNOWN = "und"
 
 #: Upper case, digits and white space say nothing about a language.
@@ -195,7 +196,7 @@ def predict(
             for first, offsets, data in slices(batch.column(kept.index(text)), 1 << 20):
                 windows, start, held = cut(offsets, data)
                 p = np.concatenate(
-                    [window_probabilities(net, tables, windows[k : k + 4096]) for k in range(0, len(windows), 4096)]
+                    [window_probabilities(net, tables, windows[k : k + BLOCK]) for k in range(0, len(windows), BLOCK)]
                 )
                 held = np.maximum(held, 1)
                 mean = np.add.reduceat(p * held[:, None], start) / np.add.reduceat(held, start)[:, None]

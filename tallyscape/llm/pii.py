@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,14 +66,20 @@ ALPHABETS = tuple(
 _CLASS = {c: a for a in ALPHABETS for c in a}
 DIGITS, LEADING = "0123456789", "23456789"
 
+
+
+def _one_of(words: Iterable[str]) -> str:
+    """A group for whole words.  The look behind follows the first letter, so a search can skip to that."""
+    rests: dict[str, list[str]] = {}
+    for w in sorted(words, key=len, reverse=True):
+        rests.setdefault(w[0], []).append(re.escape(w[1:]))
+    return "(" + "|".join(f"{c}(?<!\\w{c})(?:{'|'.join(r)})" for c, r in rests.items()) + ")"
+
+
 _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
-_TITLE = re.compile(
-    r"(?<!\w)(" + "|".join(sorted((t for v in TITLES.values() for t in v), key=len, reverse=True)) + r")(\.? )"
-    + f"({_NAME})(?: ({_NAME}))?"
-)
+_TITLE = re.compile(_one_of(t for v in TITLES.values() for t in v) + rf"(\.? )({_NAME})(?: ({_NAME}))?")
 _GIVEN = {n: key for key, names in GIVEN.items() for n in names.split()}
-_PAIR = re.compile(r"(?<!\w)(" + "|".join(sorted(_GIVEN, key=len, reverse=True)) + f")( )({_NAME})")
-_GENDER = {t: g for g, v in TITLES.items() for t in v}
+_PAIR = re.compile(_one_of(_GIVEN) + f"( )({_NAME})")
 
 
 class Surrogates:
