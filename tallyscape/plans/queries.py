@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyscape.functions.columns import with_default
-from tallyscape.functions.text import snake_name
 from tallyscape.operators import (
     clean,
     cluster,
