@@ -13,6 +13,7 @@ across tasks by 128-bit hashes, which settles them exactly.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import partial
 from itertools import groupby
 
 import numpy as np
@@ -28,6 +29,7 @@ from tallyscape.llm.spans import covered, runs_of
 WINDOW = 50  # words
 SYMBOLS = repeats.Symbols(by_word=True, window=WINDOW, gram=16)
 CROWD = 256  # classes that meet in one task
+STEP = 8  # windows whose anchor lies within so many words are handed on together
 
 
 class Automaton:
@@ -110,10 +112,24 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _classes(values: np.ndarray, windows: np.ndarray) -> Iterator[tuple[int, list[int], list[int], list[int]]]:
+    """(core, starts, h1, h2) of windows that choose one anchor and hold it at nearly the same place."""
+    sums = rolling.running(values)
+    anchor = rolling.window_minima(values, SYMBOLS.gram, WINDOW)[windows]
+    step = (anchor - windows) // STEP
+    begin = anchor - step * STEP
+    end = anchor - np.minimum(step * STEP + STEP - 1, SYMBOLS.reach) + WINDOW
+    core = (rolling.ranges(sums, begin, end) + step.astype(np.uint64)).view(np.int64)
+    h1, h2 = (rolling.grams(values, WINDOW, b).view(np.int64)[windows] for b in rolling.BASES)
+    for part in np.split(np.arange(len(windows)), np.flatnonzero(np.diff(core) != 0) + 1):
+        yield int(core[part[0]]), windows[part].tolist(), h1[part].tolist(), h2[part].tolist()
+
+
+def _match(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Shards to runs found in them, and in dealt shards the windows still open."""
     for rows in runs(batches, "tile"):
-        dealt = rows.column("crowd")[0].as_py() > CROWD
+        dealt = rows.column("crowd")[0].as_py() > most
+        tile = rows.column("tile")[0].as_py()
         automaton = Automaton()
         ids = rows.column("first_id").to_pylist()
         digests, starts = rows.column("digest").to_pylist(), rows.column("start").to_pylist()
@@ -129,45 +145,45 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ends = np.array(automaton.lengths(sequence)) >= WINDOW
                 hit = ends[WINDOW - 1 :]  # windows by their start
                 for a, b in zip(*runs_of(hit), strict=True):
-                    out.append((digests[i], first_id, starts[i] + a, starts[i] + b - 1 + WINDOW, None, None))
+                    out.append((digests[i], first_id, starts[i] + a, starts[i] + b - 1 + WINDOW, *[None] * 5))
                 for a, b in zip(*runs_of(~hit), strict=True):
                     fresh.append(sequence[a : b - 1 + WINDOW])
-                if dealt:
-                    open_ = np.flatnonzero(~hit)
-                    h1, h2 = (rolling.grams(values, WINDOW, b).view(np.int64)[open_].tolist() for b in rolling.BASES)
-                    out += [
-                        (digests[i], first_id, starts[i] + a, starts[i] + a + WINDOW, x, y)
-                        for a, x, y in zip(open_.tolist(), h1, h2, strict=True)
-                    ]
+                if dealt and not hit.all():
+                    for core, at, h1, h2 in _classes(values, np.flatnonzero(~hit)):
+                        at = [starts[i] + a for a in at]
+                        out.append((digests[i], first_id, None, None, tile, core, at, h1, h2))
             for sequence in fresh:
                 automaton.add(sequence)
         if out:
             columns = zip(*out, strict=True)
-            kinds = (pa.binary(), *[pa.int64()] * 5)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["digest", "first_id", "start", "end", "h1", "h2"]
-            )
+            kinds = (pa.binary(), *[pa.int64()] * 5, *[pa.list_(pa.int64())] * 3)
+            names = ["digest", "first_id", "start", "end", "tile", "core", "starts", "h1s", "h2s"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def repeated_runs(texts: DataFrame) -> DataFrame:
+def repeated_runs(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
     """digest, start, end of words covered by windows that a smaller id holds."""
     pieces = on_workers(texts).mapInArrow(
         _pieces, "digest binary, first_id long, place long, crowd long, start long, words binary"
     )
-    chunk = F.when(F.col("crowd") > CROWD, F.pmod(F.xxhash64("digest"), F.ceil(F.col("crowd") / CROWD))).otherwise(0)
+    chunk = F.when(F.col("crowd") > crowd, F.pmod(F.xxhash64("digest"), F.ceil(F.col("crowd") / crowd))).otherwise(0)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = pieces.withColumn("tile", F.xxhash64("place", chunk)).repartition(parts, "tile")
     sorted_ = dealt.sortWithinPartitions("tile", "first_id", "digest", "start")
     found = repeats.materialise(
-        sorted_.mapInArrow(_match, "digest binary, first_id long, start long, end long, h1 long, h2 long"), "matches"
+        sorted_.mapInArrow(
+            partial(_match, most=crowd), "digest binary, first_id long, start long, end long, " + repeats.OPEN_COLUMNS
+        ),
+        "matches",
     )
-    open_ = found.filter("h1 is not null")
+    open_ = repeats.open_windows(found, ["digest", "first_id"])
     least = open_.groupBy("h1", "h2").agg(F.min("first_id").alias("least"))
     settled = open_.join(least, ["h1", "h2"]).filter("least < first_id")
-    return found.filter("h1 is null").select("digest", "start", "end").unionByName(settled.select("digest", "start", "end"))
+    settled = settled.select("digest", "start", (F.col("start") + WINDOW).alias("end"))
+    return found.filter("core is null").select("digest", "start", "end").unionByName(settled)
 
 
-def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256: each document without words of windows that a smaller id holds.
 
     Words are runs of anything but white space, kept ones are joined by one space.  Null and empty texts have no
@@ -177,7 +193,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     signed = repeats.signatures(docs, doc_id, text, SYMBOLS)
     classes = repeats.classes_of(signed)
     texts = repeats.candidates(docs, doc_id, text, signed, classes, by_owner=True)
-    done = repeats.remove(repeated_runs(texts), texts, SYMBOLS).select(
+    done = repeats.remove(repeated_runs(texts, crowd), texts, SYMBOLS).select(
         "digest", F.col("n_removed").alias("gone"), F.col("sha").alias("new")
     )
     known = classes.select("digest", "first_id").join(done, "digest", "left")
