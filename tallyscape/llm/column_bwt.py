@@ -29,7 +29,7 @@ WINDOW = 400  # bytes
 SYMBOLS = repeats.Symbols(by_word=False, window=WINDOW, gram=64)
 REACH, GRAM = SYMBOLS.reach, SYMBOLS.gram
 WIDTH = 2 * REACH + GRAM
-CROWD = 256  # classes that meet in one task
+CROWD = 4096  # classes that meet in one task: 3 MB of segments
 STEP = 16  # neighbouring windows that are handed on together
 BATCH = 8192  # segments whose columns are inserted together
 
@@ -202,7 +202,7 @@ def repeated_runs(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
     )
     # A window with several anchors is handed on by each, so places are told apart, not rows.
     place = F.struct("digest", "start")
-    open_ = repeats.open_windows(found, ["digest"])
+    open_ = repeats.materialise(repeats.open_windows(found, ["digest"]), "open")
     met = open_.groupBy("h1", "h2").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a < b").select("h1", "h2")
     settled = open_.join(met, ["h1", "h2"]).select("digest", "start", (F.col("start") + WINDOW).alias("end"))
     return again.unionByName(found.filter("core is null").select("digest", "start", "end")).unionByName(settled)
