@@ -62,7 +62,7 @@ def _found(text: Column, pattern: str, rank: int, passing=None) -> Column:
 
 
 def _near(parts: Column, scope: int) -> Column:
-    """For each part of a sorted array, whether each kind lies at most ``scope`` before it, or within it."""
+    """For each part of a sorted array, whether an earlier one of each kind reaches to ``scope`` before it, or beyond."""
     ends = ", ".join(f"'e{k}', cast(null as int)" for k in range(len(KINDS)))
     kind = "array<struct<part:struct<start:int,rank:int,end:int>,near:array<boolean>>>"
     first = F.expr(f"named_struct({ends}, 'out', cast(array() as {kind}))")
@@ -90,7 +90,7 @@ def scan(docs: DataFrame, text: str = "text", *, scope: int = SCOPE) -> DataFram
 
     ``base`` has the strong spans (assign, access, hex), ``spans`` also the weak ones that a
     complementary part stands by: an endpoint by an assign or access span, a bare key by an access or
-    endpoint span, with at most ``scope`` code points between them.  Null and empty texts have none.
+    endpoint span, with at most ``scope`` code points between them, or one within the other.  Null and empty texts have none.
     One row in, one row out; no shuffle.
     """
     t = whole(text)
@@ -107,13 +107,14 @@ def scan(docs: DataFrame, text: str = "text", *, scope: int = SCOPE) -> DataFram
             )
         ),
     )
-    # Mirrored, what follows a part comes before it.
+    # Mirrored, what follows a part comes before it.  The order stays that of the starts, turned round: what starts
+    # after a part comes before it, also if it ends within it.
     flip = lambda s: F.struct((-s["end"]).alias("start"), s["rank"].alias("rank"), (-s["start"]).alias("end"))
     none = F.expr("cast(array() as array<struct<part:struct<start:int,rank:int,end:int>,near:array<boolean>>>)")
     some = F.exists("_parts", lambda s: s["rank"] >= 3)
     swept = parts.withColumn("_ahead", F.when(some, _near(F.col("_parts"), scope)).otherwise(none)).withColumn(
         "_back",
-        F.when(some, _near(F.array_sort(F.transform("_parts", flip)), scope)).otherwise(none),
+        F.when(some, _near(F.transform(F.reverse("_parts"), flip), scope)).otherwise(none),
     )
 
     def linked(x: Column) -> Column:
