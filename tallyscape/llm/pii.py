@@ -11,7 +11,9 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -77,9 +79,14 @@ def _one_of(words: Iterable[str]) -> str:
 
 
 _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
-_TITLE = re.compile(_one_of(t for v in TITLES.values() for t in v) + rf"(\.? )({_NAME})(?: ({_NAME}))?")
+_BLANK = r"[^\S\r\n]"
+_TITLE = re.compile(_one_of(t for v in TITLES.values() for t in v) + rf"\.?(?={_BLANK})")
 _GIVEN = {n: key for key, names in GIVEN.items() for n in names.split()}
-_PAIR = re.compile(_one_of(_GIVEN) + f"( )({_NAME})")
+_FIRST = re.compile(_one_of(_GIVEN) + rf"(?={_BLANK})")
+#: A further part stands behind blanks, or right behind the point of an initial.
+_PART = re.compile(rf"(?:{_BLANK}+|(?<=\.))({_NAME})")
+#: What ends a name and is none.
+_ENDS = {t for v in TITLES.values() for t in v} | {"Jr", "Sr", "II", "III", "IV", "PhD", "MD", "Esq"}
 
 
 class Surrogates:
@@ -226,6 +233,39 @@ def iban_check(plain: str) -> int:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
 
 
+@lru_cache(maxsize=1)
+def _words(text: str) -> Counter[str]:
+    return Counter(re.findall(rf"(?<![\w.@+-]){_NAME}(?![\w@+-])", text))
+
+
+def _is_word(text: str, value: str) -> bool:
+    """Whether the text has it in small letters more often than as a name."""
+    return _words(text)[value.lower()] > _words(text)[value]
+
+
+def _people(text: str) -> Iterator[tuple[list[tuple[int, int]], bool]]:
+    """The parts of each name behind a title or from a listed given name on, and whether it has a title.
+
+    Initials and capitalised words make a name, and the last one is the family name.  A point ends it unless it
+    is that of an initial.
+    """
+    for pattern, titled in ((_TITLE, True), (_FIRST, False)):
+        for m in pattern.finditer(text):
+            spans, at, after = [] if titled else [m.span(1)], m.end(), False
+            while (part := _PART.match(text, at)) and part[1][0].isupper() and part[1] not in _ENDS:
+                start, at = part.span(1)
+                if after and at - start > 1 and _is_word(text, part[1]):
+                    break  # a sentence that begins behind an initial
+                spans.append((start, at))
+                after = at - start == 1 and text[at : at + 1] == "."
+                at += after
+            # A bare letter at the end is no initial: "Mark I", unless it is all there is behind a title.
+            while len(spans) > titled and spans[-1][1] - spans[-1][0] == 1 and text[spans[-1][1] : spans[-1][1] + 1] != ".":
+                spans.pop()
+            if len(spans) > (not titled):
+                yield spans, titled
+
+
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, part) of what is found, by start, without overlaps; earlier types win."""
     found: list[tuple[int, int, str, str]] = []
@@ -239,19 +279,15 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         found += [(m.start(), m.end(), "phone", "phone") for m in PHONE.finditer(text)]
         found += [(m.start(), m.end(), "iban", "iban") for m in IBAN.finditer(text) if any(c.isdigit() for c in m[0][4:])]
     names: dict[str, str] = {}
-    for m in _TITLE.finditer(text):
-        if not m[3][0].isupper():
-            continue
-        second = m[4] if m[4] and m[4][0].isupper() else None
-        parts = [(3, "given"), (4, "family")] if second else [(3, "family")]
-        for group, part in parts:
-            found.append((m.start(group), m.end(group), "name", part))
-            names[m[group]] = part
-    for m in _PAIR.finditer(text):
-        if m[3][0].isupper():
-            for group, part in ((1, "given"), (3, "family")):
-                found.append((m.start(group), m.end(group), "name", part))
-                names[m[group]] = part
+    for spans, titled in _people(text):
+        whole = [x for x in spans if x[1] - x[0] > 1]
+        for span in spans:
+            value = text[slice(*span)]
+            part = "family" if span == spans[-1] or span != (whole or spans)[0] else "given"
+            found.append((*span, "name", part))
+            # Named again, a name is known by its title, or as it is no word of the text.
+            if span in whole and (value in _GIVEN or (titled and span in whole[:2]) or not _is_word(text, value)):
+                names[value] = part
     if names:  # the same person named again without title
         again = re.compile(r"(?<!\w)(" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w)")
         found += [(m.start(), m.end(), "name", names[m[0]]) for m in again.finditer(text)]

@@ -200,6 +200,28 @@ def test_surrogates_keep_type_format_and_identity():
     assert pii.replace(text, pii.Surrogates(hashlib.sha256(b"other").digest()))[0] != new
 
 
+@pytest.mark.parametrize(
+    "text, gone, kept",
+    [
+        ("Mr. J. Smith came. Smith left, J is a letter.", ["Smith"], ["Mr. ", " came. ", "J is a letter."]),
+        ("John F. Kennedy spoke. Kennedy won, F did not.", ["John", "Kennedy", " F."], [" spoke. ", "F did not."]),
+        ("John F Kennedy and Anna Maria Lopez", ["Kennedy", "Maria", "Lopez", " F "], [" and "]),
+        ("Prof. J.R.R. Tolkien wrote; Tolkien, J and R.", ["Tolkien", "J.R.R."], ["Prof. ", "J and R."]),
+        ("Herr Prof. Dr. Müller und Frau  K. Weber", ["Müller", "Weber", "K."], ["Herr Prof. Dr. ", " und Frau  "]),
+        ("James Earl Bond Carter, then Carter Jr. of Mary Brown Jr. here", ["Earl", "Bond", "Carter", "Brown"], [" Jr. of ", " Jr. here"]),
+        ("Mark I think I know what I said.", [], ["Mark I think I know what I said."]),
+        ("I met John Smith. The day was fine. The end.", ["Smith"], [". The day was fine. The end."]),
+        ("By the way: ask Mark The day after the fair in the town. The end.", [], [" day after the fair in the town. The end."]),
+        ("It was Henry V. The king and the queen met the men.", ["Henry"], [". The king and the queen met the men."]),
+        ("Mr T met Mr. K. there. T K", ["Mr T", "Mr. K."], [" there. T K"]),
+    ],
+)
+def test_names_of_several_parts(text, gone, kept):
+    new, _ = pii.replace(text, pii.Surrogates(b"k" * 32))
+    assert len(new.split()) == len(text.split())
+    assert not [x for x in gone if re.search(rf"(?<!\w){re.escape(x)}", new)] and all(x in new for x in kept)
+
+
 def test_permutations_are_one_to_one_without_fixed_points():
     made = pii.Surrogates(b"k" * 32)
     for radix in ([10, 10, 10], [5, 21, 5], [7]):
