@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscape.llm import bpe, column_bwt, credentials, embedding_dedup, exact_dedup, langid, mixing, ngram_join, pii, substring_dedup
+from tallyscape.llm import bpe, column_bwt, credentials, embedding_dedup, exact_dedup, langid, mixing, ngram_join, pii, prefix_trie, spelling, substring_dedup, vantage
 from tallyscape.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -74,6 +74,20 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.words(table(spark, folder, "documents"), drop_every=31)
+    return spelling.variants(words)
+
+
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return vantage.nearest(table(spark, folder, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.rebuilt(table(spark, folder, "conversations"))
+    return prefix_trie.nodes(turns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -87,5 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_credentials,
         op9_suffix_columns,
         op10_exact_dedup,
+        op11_spelling_variants,
+        op12_nearest_neighbours,
+        op13_prefix_trie,
     )
 }
