@@ -15,6 +15,7 @@ from tallyscape.operators import (
     clean,
     cluster,
     features,
+    kmeans,
     quality,
     reports,
     reshape,
@@ -606,8 +607,8 @@ def kmeans_raw(t: Retail) -> DataFrame:
 
 
 def k_sweep_of(t: Retail) -> DataFrame:
-    placed = cluster.in_fixed_layout(t.wide, "entity_id")
-    return cluster.sweep(cluster.feature_vectors(placed, t.measures))[1]
+    points = kmeans.points(t.wide, "entity_id", t.measures)
+    return kmeans.sweep(points, 8, seed=cluster.SEED, max_iter=cluster.SWEEP_MAX_ITER, tol=cluster.TOL)[1]
 
 
 @query

@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyscape.functions.columns import measure_columns
-from tallyscape.operators import clean, cluster as kmeans, features, quality, reports, reshape, warehouse
+from tallyscape.functions.columns import column, measure_columns
+from tallyscape.operators import clean, cluster as kmeans, features, kmeans as keyed, quality, reports, reshape, warehouse
 from tallyscape.session import materialise
 from tallyscape.sinks.files import write_csv, write_json
 from tallyscape.sinks.jdbc import write_jdbc
@@ -69,15 +69,44 @@ def cluster(
     seed: int | None = None,
     max_iter: int = kmeans.MAX_ITER,
     tol: float = kmeans.TOL,
-    partitions: int = kmeans.PARTITIONS,
+    partitions: int | None = None,
 ) -> Run:
     """KMeans over all measures.  ``k="auto"`` takes the k of the best silhouette.
 
+    The clusters follow from the rows, ``seed`` and settings alone.  With ``partitions`` Spark's own trainer is used instead,
+    on rows placed by key in that many partitions: its clusters depend on their number.
     ``wide`` is read several times: hand in a stored or materialised table.
     """
     columns = measure_columns(wide, entity)
     if seed is None:
         seed = kmeans.SEED if scale else kmeans.RAW_SEED
+    if partitions is not None:
+        return _cluster_in_layout(wide, entity, columns, k, max_k, scale, seed, max_iter, tol, partitions)
+    points = keyed.points(wide, entity, columns, scale=scale)
+    tried = None
+    if k == "auto":
+        k, tried, _ = keyed.sweep(points, max_k, seed=seed, max_iter=kmeans.SWEEP_MAX_ITER, tol=tol)
+    trained = keyed.train(points, [int(k)], seed=seed, max_iter=max_iter, tol=tol)[int(k)]
+    if trained.silhouette is None:
+        raise ValueError("a silhouette needs two clusters")
+    labels = keyed.assigned(points, trained.centres).withColumnRenamed("key", "_key")
+    done = wide.join(labels, column(entity) == F.col("_key")).drop("_key")
+    done = materialise(done, "clustered")
+    return Run(entity, columns, int(k), trained.cost, trained.silhouette, kmeans.canonical_ids(done, entity), tried)
+
+
+def _cluster_in_layout(
+    wide: DataFrame,
+    entity: str,
+    columns: list[str],
+    k: int | str,
+    max_k: int,
+    scale: bool,
+    seed: int,
+    max_iter: int,
+    tol: float,
+    partitions: int,
+) -> Run:
     placed = kmeans.in_fixed_layout(wide, entity, partitions).persist()
     try:
         vectors = kmeans.feature_vectors(placed, columns, scale=scale)

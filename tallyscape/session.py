@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,3 +84,16 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
         paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def with_package(df: DataFrame) -> DataFrame:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster the package is installed or shipped with ``--py-files``; then this changes nothing that matters.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    here = str(Path(__file__).resolve().parents[1])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, here])
+    return df
