@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from tallyscape.functions.columns import column
@@ -40,3 +41,28 @@ def dense_keys(df: DataFrame, order_by: Sequence[str], key: str = "id", *, start
         (F.col("_offset") + F.col("_row") + start).cast("long").alias(key), *[column(c) for c in df.columns]
     )
 
+
+def registered_keys(
+    names: DataFrame, folder: str, *, name: str = "name", key: str = "id", register: bool = True
+) -> DataFrame:
+    """key, name of every name the registry in ``folder`` knows, after the non-null new ones of ``names`` joined it.
+
+    The registry is a Parquet table that only grows: a name keeps its key for good, whatever comes later.  New names of a
+    load are numbered in their order after the last key; every partition takes a range as long as it has names.
+    A load is one append, seen whole or not at all, so a failed one leaves nothing and can be run again;
+    loads are to follow each other, as two at the same time would take the same keys.  With ``register`` off nothing is
+    written and names that are not known are left out.
+    """
+    spark = names.sparkSession
+    kind = names.schema[name].dataType
+    schema = StructType([StructField(key, LongType()), StructField(name, kind)])
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    exists = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    known = spark.read.schema(schema).parquet(folder) if exists else spark.createDataFrame([], schema)
+    if not register:
+        return known
+    wanted = names.select(column(name)).filter(column(name).isNotNull()).distinct()
+    new = wanted.join(known.select(column(name)), name, "left_anti") if exists else wanted
+    last = (known.agg(F.max(column(key))).first()[0] or 0) if exists else 0
+    dense_keys(new, [name], key, start=last + 1).select(column(key), column(name)).write.mode("append").parquet(folder)
+    return spark.read.schema(schema).parquet(folder)

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyscape.functions.columns import column
-from tallyscape.operators.keys import dense_keys
+from tallyscape.operators.keys import dense_keys, registered_keys
 from tallyscape.operators.reshape import to_long
 
 NOW = object()  # default that stands for the time of the load
@@ -96,8 +96,15 @@ def conform(df: DataFrame, target: Sequence[TargetColumn]) -> DataFrame:
     return df.select(*out)
 
 
-def dimension(df: DataFrame, name: str, *, key: str = "id") -> DataFrame:
-    """The distinct non-null names, numbered from 1 in name order."""
+def dimension(df: DataFrame, name: str, *, key: str = "id", registry: str | None = None) -> DataFrame:
+    """The distinct non-null names, numbered from 1 in name order.
+
+    With a ``registry`` folder a name has the key it got when it first came, and new ones are numbered after
+    all others, so keys stay when rows are added; only names of ``df`` are returned.
+    """
+    if registry is not None:
+        names = df.select(column(name)).filter(column(name).isNotNull()).distinct()
+        return registered_keys(names, registry, name=name, key=key).join(names, name, "left_semi")
     return dense_keys(df.select(column(name)).filter(column(name).isNotNull()).distinct(), [name], key)
 
 
@@ -134,15 +141,28 @@ def repeated_values(df: DataFrame, target: Sequence[TargetColumn]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def name_rejects(df: DataFrame, target: Sequence[TargetColumn]) -> DataFrame:
-    """Rows that ``conform`` would raise for: a required value missing, or a name too long."""
+def require_unique(df: DataFrame, target: Sequence[TargetColumn]) -> DataFrame:
+    """``df``, once the unique columns of the target are known to hold no value twice; else it raises."""
+    first = repeated_values(df, target).first()
+    if first is not None:
+        raise ValueError(f"{first.column_name} {first.value!r} stands {first.rows} times")
+    return df
+
+
+def unfit(target: Sequence[TargetColumn]) -> Column:
+    """Whether ``conform`` would raise for a row: a required value missing, or a name too long."""
     bad = F.lit(False)
     for t in target:
         if t.required and t.default is None:
             bad = bad | column(t.name).isNull()
         if t.max_length is not None:
             bad = bad | F.coalesce(F.length(column(t.name)) > t.max_length, F.lit(False))
-    return df.filter(bad)
+    return bad
+
+
+def name_rejects(df: DataFrame, target: Sequence[TargetColumn]) -> DataFrame:
+    """Rows that ``conform`` would raise for: a required value missing, or a name too long."""
+    return df.filter(unfit(target))
 
 
 def _keyed(

@@ -299,6 +299,14 @@ CHECKS: dict[str, str] = {
     ),
     "dimension_keys": """SELECT row_number() OVER (ORDER BY c_name) AS entity_id, c_name
         FROM (SELECT DISTINCT c_name FROM customer)""",
+    "keys_kept": """
+        WITH early AS (
+            SELECT DISTINCT c_name FROM customer JOIN orders ON o_custkey = c_custkey WHERE year(o_orderdate) <= 1995),
+        late AS (SELECT c_name FROM customer EXCEPT SELECT c_name FROM early),
+        first AS (SELECT row_number() OVER (ORDER BY c_name) AS id, c_name FROM early)
+        SELECT id AS entity_id, c_name, id AS first_id FROM first
+        UNION ALL
+        SELECT (SELECT count(*) FROM first) + row_number() OVER (ORDER BY c_name), c_name, NULL FROM late""",
     "fact_load": f"WITH {_WIDE}, {_CATEGORIES}, long AS ("
     + " UNION ALL ".join(f"SELECT entity_id, '{t}' AS category, {c} AS measure FROM wide" for t, c in zip(_TYPES, _COLS))
     + """) SELECT row_number() OVER (ORDER BY entity_id, category_id) AS fact_id, entity_id, category_id, measure,

@@ -24,7 +24,7 @@ from tallyscape.operators import (
 )
 from tallyscape.plans import stages
 from tallyscape.plans.retail import TABLES, Retail
-from tallyscape.session import materialise
+from tallyscape.session import checkpoint_dir, materialise
 from tallyscape.sources.tables import literal_table, read_query
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -340,6 +340,20 @@ def seed_ignore_existing(t: Retail) -> DataFrame:
     return warehouse.add_missing_names(once, listed, name="category", key="category_id")
 
 
+@query
+def keys_kept(t: Retail) -> DataFrame:
+    """The customers of 1995 are registered first, all customers later: the first keep their keys."""
+    registry = f"{checkpoint_dir(t.spark).rstrip('/')}/registry-{uuid4().hex}"
+    buyers = t.table("orders").select(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("period"))
+    early = buyers.filter(F.col("period") <= 1995).select("c_custkey").distinct()
+    customers = t.table("customer").select("c_custkey", "c_name")
+    first = warehouse.dimension(customers.join(early, "c_custkey", "left_semi"), "c_name", key="entity_id", registry=registry)
+    first = materialise(first, "first_keys")
+    second = warehouse.dimension(customers, "c_name", key="entity_id", registry=registry)
+    old = first.select("c_name", F.col("entity_id").alias("first_id"))
+    return second.join(old, "c_name", "left").select("entity_id", "c_name", "first_id")
+
+
 @query
 def fk_violations(t: Retail) -> DataFrame:
     solvent = t.table("customer").filter(F.col("c_acctbal") >= 0).select(F.col("c_custkey").alias("o_custkey"))

@@ -142,19 +142,36 @@ def run_summary(run: Run) -> DataFrame:
 
 
 def warehouse_tables(
-    run: Run, *, labels: Mapping[str, str] | None = None, period: int | None = None
+    run: Run,
+    *,
+    labels: Mapping[str, str] | None = None,
+    period: int | None = None,
+    registry: str | None = None,
+    skip_rejects: bool = False,
 ) -> dict[str, DataFrame]:
     """The five tables of the star, typed and with defaults, ready for any writer.
 
     ``labels`` are the display names of the measure columns.  Entities are numbered in
-    name order and categories in column order, so a rerun gives the same keys.
+    name order and categories in column order, so a rerun gives the same keys.  With a ``registry`` folder entities
+    and categories keep the keys of earlier loads, also when others have been added.
+
+    A name that is missing, too long or not unique raises.  ``skip_rejects`` leaves missing and too long ones to
+    ``warehouse_rejects``; with the star, all rows of the run are then accounted for.
     """
     done = run.assigned.select(F.col(run.entity).alias("entity"), "cluster_id", *run.columns)
-    entities = warehouse.dimension(done, "entity", key="entity_id")
-    named = [(i, (labels or {}).get(c, c), c) for i, c in enumerate(run.columns, start=1)]
-    categories = done.sparkSession.createDataFrame(
-        named, "category_id long, category string, column_name string"
-    )
+    if skip_rejects:
+        done = done.filter(~warehouse.unfit(_NAMES))
+    warehouse.require_unique(done, _NAMES)
+    spark = done.sparkSession
+    named = [((labels or {}).get(c, c), c) for c in run.columns]
+    categories = spark.createDataFrame([(i, *n) for i, n in enumerate(named, start=1)], "category_id long, category string, column_name string")
+    warehouse.require_unique(categories, warehouse.entity_target("category_id", "category"))
+    if registry is None:
+        entities = warehouse.dimension(done, "entity", key="entity_id")
+    else:
+        entities = warehouse.dimension(done, "entity", key="entity_id", registry=f"{registry}/entity")
+        kept = warehouse.dimension(categories, "category", key="category_id", registry=f"{registry}/category")
+        categories = categories.drop("category_id").join(kept, "category").select("category_id", "category", "column_name")
     keyed = done.join(entities.withColumnRenamed("entity_id", "id"), "entity")
     return {
         "entity": warehouse.conform(entities, warehouse.entity_target()),
@@ -165,6 +182,16 @@ def warehouse_tables(
     }
 
 
+#: What is asked of the entity names of a run before they have a key.
+_NAMES = [t for t in warehouse.entity_target() if t.name == "entity"]
+
+
+def warehouse_rejects(run: Run) -> DataFrame:
+    """The rows of a run that the star has no place for: entity missing or too long."""
+    done = run.assigned.select(F.col(run.entity).alias("entity"), "cluster_id", *run.columns)
+    return warehouse.name_rejects(done, _NAMES)
+
+
 def star_reports(star: Mapping[str, DataFrame], category: str, cluster_id: int = 0, n: int = 5) -> dict[str, DataFrame]:
     """The usual reports over a star with the tables entity, category, fact and assignment."""
     entities, categories, facts, assignment = (star[t] for t in ("entity", "category", "fact", "assignment"))
@@ -202,7 +229,7 @@ def export(
     entities and clusters is written too, and after a sweep the costs and scores of every k.
     """
     if run.sweep is not None:
-        write_csv(run.sweep, f"{folder}/sweep")
+        write_csv(run.sweep.coalesce(1).sortWithinPartitions("k"), f"{folder}/sweep")  # a row for each k
     if star is not None:
         report = reports.entity_cluster_report(star["assignment"], star["entity"], star["fact"])
         write_csv(report, f"{folder}/entity_cluster_report")

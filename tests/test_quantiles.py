@@ -91,3 +91,42 @@ def test_few_passes_on_any_distribution(spark, kind, monkeypatch):
         monkeypatch.setattr(module, name, lambda *a, real=real: passes.append(1) or real(*a))
     check(spark, values, held=300)
     assert len(passes) <= 4
+
+
+def test_stored_sketches_are_merged(spark):
+    rng = np.random.default_rng(6)
+    data = [(int(rng.integers(5)), float(v), None if v > 1 else float(v * v)) for v in rng.normal(size=3000)]
+    df = spark.createDataFrame(data, "period int, a double, b double")
+    stored = module.sketches(df, ["a", "b"], ["period"])
+    assert stored.count() == 5
+    got = quantiles(df, ["a", "b"], PROBS, stored=stored)
+    assert got["a"] == pytest.approx(list(np.quantile([r[1] for r in data], PROBS)), rel=1e-12)
+    assert got["b"] == pytest.approx(list(np.quantile([r[2] for r in data if r[2] is not None], PROBS)), rel=1e-12)
+
+
+def test_a_misjudging_sketch_does_not_change_the_result(spark, monkeypatch):
+    values = list(range(2000))
+    real = module._probe
+
+    def wrong(*given):
+        return [module._Probed(p.bracket, p.under, p.rows, [x / 2 for x in p.found[:-1]] + p.found[-1:]) for p in real(*given)]
+
+    monkeypatch.setattr(module, "_probe", wrong)
+    check(spark, [float(v) for v in values])
+
+
+def test_correlations_of_many_columns_with_gaps(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(120, 30)) @ rng.normal(size=(30, 30)) + 1e6
+    x[rng.random(x.shape) < 0.2] = np.nan
+    names = [f"c {i}" for i in range(30)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], names).repartition(5)
+    for block in (1024, 7):
+        got = {(r[0], r[1]): r[2] for r in rows(correlations(df, names, block=block))}
+        assert len(got) == 30 * 29 / 2
+        for i in range(30):
+            for j in range(i + 1, 30):
+                both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+                assert got[names[i], names[j]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-8)
+    assert correlations(df, names[:1]).count() == 0
+    assert {r[2] for r in rows(correlations(df.limit(0), names[:3]))} <= {None}

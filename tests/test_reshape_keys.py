@@ -152,3 +152,18 @@ def test_load_facts_fills_the_star(spark):
     assert warehouse.valid_facts(facts, only, "entity_id").count() == 2
     null_key = facts.withColumn("entity_id", F.lit(None).cast("long"))
     assert warehouse.key_violations(null_key, entities, "entity_id").count() == 0
+
+
+def test_registered_names_keep_their_keys(spark, tmp_path):
+    folder = str(tmp_path / "registry")
+    load = lambda names: spark.createDataFrame([(n,) for n in names], "e string")
+    get = lambda df, **k: dict(rows(warehouse.dimension(df, "e", key="i", registry=folder, **k).select("e", "i")))
+    assert get(load(["b", "c", None, "c"])) == {"b": 1, "c": 2}
+    assert get(load(["a", "b", "d"])) == {"a": 3, "b": 1, "d": 4}
+    assert get(load(["a", "b", "d"])) == {"a": 3, "b": 1, "d": 4}
+    assert get(load([])) == {}
+    many = [f"n{i:04}" for i in range(500)]
+    first = get(load(many).repartition(6))
+    assert sorted(first.values()) == list(range(5, 505))
+    everything = keys.registered_keys(load(["unknown"]), folder, name="e", key="i", register=False)
+    assert everything.count() == 504 and everything.filter("e = 'unknown'").count() == 0

@@ -215,3 +215,31 @@ def test_a_repeated_key_is_refused(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "e string, x double")
     with pytest.raises(ValueError, match="not unique"):
         stages.cluster(df, "e", k=2)
+
+
+def test_star_keys_stay_over_runs_and_rejects_are_kept(spark, tmp_path):
+    def run(names):
+        df = spark.createDataFrame([(n, float(i), float(i % 3)) for i, n in enumerate(names)], "e string, x double, y double")
+        return stages.cluster(df, "e", k=2)
+
+    registry = str(tmp_path / "keys")
+    first = stages.warehouse_tables(run(["m", "n", "o", "p"]), registry=registry)
+    ids = dict(rows(first["entity"].select("entity", "entity_id")))
+    assert ids == {"m": 1, "n": 2, "o": 3, "p": 4}
+    assert dict(rows(first["category"].select("category", "category_id"))) == {"x": 1, "y": 2}
+    again = run(["a", "m", "o", "z" * 101])
+    with pytest.raises(Exception, match="too long"):
+        stages.warehouse_tables(again)["entity"].collect()
+    star = stages.warehouse_tables(again, registry=registry, skip_rejects=True)
+    assert dict(rows(star["entity"].select("entity", "entity_id"))) == {"a": 5, "m": 1, "o": 3}
+    assert {r.entity_id for r in star["fact"].collect()} == {5, 1, 3}
+    assert [r.entity for r in stages.warehouse_rejects(again).collect()] == ["z" * 101]
+
+
+def test_a_name_twice_in_a_unique_column_is_refused(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 9.0)], "e string, x double")
+    found = stages.cluster(df, "e", k=2)
+    with pytest.raises(ValueError, match="category 'same'"):
+        two = spark.createDataFrame([("a", 1.0, 2.0), ("b", 2.0, 1.0), ("c", 9.0, 5.0)], "e string, x double, y double")
+        stages.warehouse_tables(stages.cluster(two, "e", k=2), labels={"x": "same", "y": "same"})
+    assert stages.warehouse_tables(found)["entity"].count() == 3
