@@ -15,16 +15,19 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, StructField, StructType
 
 from tallyscape.llm.common import on_workers
 
 SHORT = 64  # bytes up to which pieces share arrays
-SLICE = 1 << 21  # characters split and encoded at a time
-CACHE = 400_000  # pieces remembered by a task; the memory is emptied beyond, which changes no result
+SLICE = 1 << 19  # characters split, encoded and handed on at a time, or one text if that is longer
+TOGETHER = 4_000  # short pieces whose trees stand side by side
+MEMORY = 12 << 20  # bytes of pieces remembered, twice; forgetting changes no result
+ENTRY = 200  # bytes that a remembered piece takes besides its characters and ids
 _NONE = np.int64(1) << 62
 
 
@@ -50,7 +53,13 @@ class Merges:
         self.pairs = np.array(sorted(pairs), np.int64)
         self.merged = np.array([pairs[p] for p in self.pairs.tolist()], np.int64)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # of this and of the last slices
+        self.before: dict[str, bytes] = {}  # of those before, taken over when met again
+        self.held = 0
+
+    def remember(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.held += ENTRY + len(piece) + len(ids)
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         if not len(self.pairs):
@@ -155,22 +164,27 @@ class Merges:
         return np.array([t for t in token if t >= 0], "<u4").tobytes()
 
     def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces not met before."""
-        if len(self.known) > CACHE:
-            self.known.clear()
+        """Encode the pieces not remembered.  Memory is given back by halves, the longer unused one first."""
+        if self.held > MEMORY:
+            self.known, self.before, self.held = {}, self.known, 0
         by_size: dict[int, list[tuple[str, bytes]]] = {}
         for piece in pieces - self.known.keys():
+            met = self.before.get(piece)
+            if met is not None:
+                self.remember(piece, met)
+                continue
             raw = piece.encode()
             if raw in self.ranks:  # a piece that is a token stays whole
-                self.known[piece] = self.ranks[raw].to_bytes(4, "little")
+                self.remember(piece, self.ranks[raw].to_bytes(4, "little"))
             elif len(raw) > SHORT:
-                self.known[piece] = self.encode_long(raw)
+                self.remember(piece, self.encode_long(raw))
             else:
                 by_size.setdefault((len(raw) - 1).bit_length(), []).append((piece, raw))
         for group in by_size.values():
-            for k in range(0, len(group), 20_000):
-                part = group[k : k + 20_000]
-                self.known.update(zip((p for p, _ in part), self.encode_short([r for _, r in part]), strict=True))
+            for k in range(0, len(group), TOGETHER):
+                part = group[k : k + TOGETHER]
+                for (piece, _), ids in zip(part, self.encode_short([r for _, r in part]), strict=True):
+                    self.remember(piece, ids)
 
     def encode(self, texts: list[str], split) -> Iterator[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
@@ -191,43 +205,59 @@ class Merges:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_READY: dict[tuple[int, int], Merges] = {}  # kept while a worker lives
+_READY: dict[tuple[int, int], Merges] = {}  # of the vocabulary a worker used last
 
 
 def encode_decode(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", *, ids: str = "ids", decoded: str = "decoded"
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    text: str = "text",
+    *,
+    ids: str = "ids",
+    decoded: str = "decoded",
+    round_trip: str | None = None,
 ) -> DataFrame:
     """Adds ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded`` (binary, the ids' bytes).
 
+    With ``round_trip`` a column of that name takes the place of ``decoded``: whether the ids' bytes are the text's.
+
     Each match of ``pattern`` is encoded by itself, without special tokens.  Null and empty texts
     have no ids.  A column of the same name is replaced.  Works row by row, in no order, with no
     shuffle; ``ranks`` is the vocabulary, about a megabyte, sent with the function.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    kept = [c for c in docs.columns if c not in (ids, decoded)]
+    last = StructField(round_trip, BooleanType()) if round_trip else StructField(decoded, BinaryType())
+    kept = [c for c in docs.columns if c not in (ids, last.name)]
     base = docs.select(*[F.col(f"`{c}`") for c in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = (len(shared.value), hash(frozenset(shared.value.items())))
-        merges = _READY.setdefault(key, None) or Merges(shared.value)
-        _READY[key] = merges
+        if key not in _READY:
+            _READY.clear()
+            _READY[key] = Merges(shared.value)
+        merges = _READY[key]
         split = regex.compile(pattern).findall
         for batch in batches:
             texts = batch.column(kept.index(text))
+            lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
             rows, start = batch.num_rows, 0
-            lengths = [len(t) if (t := texts[i].as_py()) else 0 for i in range(rows)]
             while start < rows:
                 end, held = start, 0
-                while end < rows and (end == start or held + lengths[end] <= 4 * SLICE):
+                while end < rows and (end == start or held + lengths[end] <= SLICE):
                     held += lengths[end]
                     end += 1
                 part = batch.slice(start, end - start)
-                coded = list(merges.encode([t or "" for t in part.column(kept.index(text)).to_pylist()], split))
-                back = [merges.decode(c) for c in coded]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(coded, pa.binary()), pa.array(back, pa.binary())], [*kept, ids, decoded]
-                )
+                given = [t or "" for t in part.column(kept.index(text)).to_pylist()]
+                coded = list(merges.encode(given, split))
+                back = map(merges.decode, coded)
+                if round_trip:
+                    found = pa.array([b == t.encode() for b, t in zip(back, given, strict=True)], pa.bool_())
+                else:
+                    found = pa.array(list(back), pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(coded, pa.binary()), found], [*kept, ids, last.name])
                 start = end
+            pa.default_memory_pool().release_unused()
 
-    schema = StructType([*base.schema.fields, StructField(ids, BinaryType()), StructField(decoded, BinaryType())])
+    schema = StructType([*base.schema.fields, StructField(ids, BinaryType()), last])
     return on_workers(base).mapInArrow(run, schema)
