@@ -27,6 +27,14 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet, case apart."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def on_workers(df: DataFrame) -> DataFrame:
     """Let Python workers import this package from where the driver has it.
 

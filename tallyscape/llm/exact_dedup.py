@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyscape.llm.common import ascii_lower, on_workers, whole
+from tallyscape.llm.common import ascii_lower, on_workers, unused, whole
 from tallyscape.session import materialise
 
 #: Counters of the summary.  A digest in more than 2 / (COUNTERS + 1) of the rows is always found.
@@ -93,10 +93,11 @@ def copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, count
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, counters: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were."""
+    own, its_id, its_digest = (unused(docs, name) for name in ("_own", "_id", "_digest"))
     keep = copies(docs, doc_id, text, counters=counters).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")
+        F.col("doc_id").alias(its_id), F.col("digest").alias(its_digest)
     )
-    marked = docs.withColumn("_own", digest_of(text))
-    same = marked[doc_id].eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest"))
+    marked = docs.withColumn(own, digest_of(text))
+    same = marked[doc_id].eqNullSafe(F.col(its_id)) & (F.col(own) == F.col(its_digest))
     # Rows repeated with one doc_id and text are one row of the result.
-    return marked.join(keep, same, "left_semi").dropDuplicates([doc_id, "_own"]).drop("_own")
+    return marked.join(keep, same, "left_semi").dropDuplicates([doc_id, own]).drop(own)

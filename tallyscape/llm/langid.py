@@ -158,7 +158,9 @@ def sample_windows(docs: DataFrame, text: str, lang: str, key: Column, size: int
         F.substring(F.col(text), at.cast("int"), F.lit(WINDOW)).alias("window"),
     )
     best = Window.partitionBy("lang", "part").orderBy("mixed", "window")
-    return rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= each).select("lang", "mixed", "window")
+    ranked = rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= each)
+    # With very many languages one window for each part is still too many: those that hash lowest are taken.
+    return ranked.orderBy("rank", "mixed", "lang", "window").limit(size).select("lang", "mixed", "window")
 
 
 def learn(docs: DataFrame, text: str, lang: str, key: Column, size: int = SAMPLE) -> Network | None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyscape.llm import bpe, exact_dedup, langid, mixing, ngram_join
+from tallyscape.llm.common import unused
 from tallyscape.llm.queries import public_vocabulary
 
 #: A text is rejected if it has no letter, or no language reaches this mean probability.
@@ -15,8 +16,9 @@ LEAST_SCORE = 0.3
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a recognised language."""
     net = langid.learn(docs.filter(~langid.held_out("doc_id")), "text", "lang", F.col("doc_id"))
-    judged = langid.predict(docs, net, lang_pred="_lang", score="_score")
-    return judged.filter((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LEAST_SCORE)).drop("_lang", "_score")
+    lang, score = (unused(docs, name) for name in ("_lang", "_score"))
+    judged = langid.predict(docs, net, lang_pred=lang, score=score)
+    return judged.filter((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).drop(lang, score)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +39,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     ranks, pattern = public_vocabulary()
-    coded = bpe.encode_decode(docs, ranks, pattern)
+    own = ("n_tokens", "ids", "round_trip")  # columns of these names are replaced
+    coded = bpe.encode_decode(docs.drop(*own), ranks, pattern, round_trip="round_trip")
     return coded.select(
-        *docs.columns,
+        *[F.col(f"`{c}`") for c in docs.columns if c not in own],
         F.expr("length(ids) div 4").cast("long").alias("n_tokens"),
         "ids",
-        (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"),
+        "round_trip",
     )

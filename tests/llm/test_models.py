@@ -9,6 +9,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from text_cases import SCHEMA, groups, words
 
 import corpus_pipeline
@@ -334,6 +335,24 @@ def test_pipeline_against_brute_force(spark):
 
 def test_stages_stand_empty_and_odd_tables(spark, docs, no_docs):
     for name, stage in corpus_pipeline.STAGES:
-        assert stage(spark, no_docs.select(*docs.columns[:5]), FOLDER).count() == 0, name
-        assert stage(spark, docs.select(*docs.columns[:5]), FOLDER).count() > 0, name
+        assert stage(spark, no_docs, FOLDER).count() == 0, name
+        assert stage(spark, docs.withColumns({c: F.lit(1) for c in CLASHING}), FOLDER).count() > 0, name
+
+
+#: Names that stages use inside, or that the last one adds.
+CLASHING = ["n_tokens", "round_trip", "_lang", "_score", "_id", "_digest", "_own"]
+
+
+def test_stages_keep_columns_of_any_name(spark, docs):
+    wide = docs.withColumns({c: F.lit(1) for c in CLASHING})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, wide, FOLDER).columns == wide.columns, name
+    last = corpus_pipeline.STAGES[-1][1](spark, wide, FOLDER)
+    assert sorted(last.columns) == sorted(wide.columns)
+
+
+def test_a_sample_of_many_languages_keeps_its_bound(spark):
+    rows = [(i, f"text of number {i} " * 9, f"lang{i % 300}") for i in range(9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.sample_windows(df, "text", "lang", F.col("doc_id"), 1000).count() == 1000
     assert SCHEMA.startswith("doc_id")
