@@ -418,13 +418,13 @@ def nodes(turns: DataFrame, *, limit: int = LIMIT) -> DataFrame:
     inner = every.filter("parent_conv_id is not null")
     outer = every.filter("parent_conv_id is null").drop("parent_conv_id").join(upper, "parent")
     deep_nodes = inner.unionByName(outer.withColumnRenamed("upper_conv_id", "parent_conv_id")).drop("parent")
-    tops = every.filter("depth = 1").agg(
-        F.count("*").alias("n_children"), F.sum("n_leaves").alias("leaves"), F.sum("saved_tokens").alias("saved")
+    below = every.filter("depth = 1").agg(
+        F.struct(F.count("*").alias("n"), F.coalesce(F.sum("n_leaves"), F.lit(1)).alias("leaves"), F.coalesce(F.sum("saved_tokens"), F.lit(0)).alias("saved"))
     )
-    top = found.filter("depth = 0").select("prefix", "conv_id", "depth", "n_convs", F.lit(0).alias("_k")).join(tops.withColumn("_k", F.lit(0)), "_k")
+    top = found.filter("depth = 0").select("prefix", "conv_id", "depth", "n_convs").withColumn("below", below.scalar())
     top = top.select(
-        "prefix", "conv_id", "depth", "n_convs", "n_children", F.coalesce("leaves", F.lit(1)).cast("long").alias("n_leaves"),
-        F.coalesce("saved", F.lit(0)).cast("long").alias("saved_tokens"), F.lit(None).cast("long").alias("parent_conv_id"),
+        "prefix", "conv_id", "depth", "n_convs", F.col("below.n").alias("n_children"), F.col("below.leaves").alias("n_leaves"),
+        F.col("below.saved").alias("saved_tokens"), F.lit(None).cast("long").alias("parent_conv_id"),
     )
     return (
         deep_nodes.unionByName(top)
