@@ -29,6 +29,7 @@ K = 20
 SHARD_BYTES = 4 << 20  # of the doubles that a tree is built over
 BLOCK_BYTES = 8 << 20  # of the doubles of the queries that meet a shard together
 LEAF = 256
+LENGTHS = 10_000  # different lengths of vectors up to which their table is broadcast
 PAIRS = 1 << 15  # pairs recomputed at a time
 _EPS = float(np.finfo(np.float64).eps)
 
@@ -216,7 +217,10 @@ def nearest(
         return df.groupBy("dim").agg(F.greatest(F.lit(1), pieces).cast("int").alias(name))
 
     sizes = parts(points, "shards", shard_bytes).join(parts(asked, "blocks", block_bytes), "dim")
-    cells = sizes.agg(F.sum(F.col("shards").cast("long") * F.col("blocks"))).first()[0] or 1
+    met = sizes.agg(F.sum(F.col("shards").cast("long") * F.col("blocks")), F.count("*")).first()
+    cells = met[0] or 1
+    if met[1] <= LENGTHS:  # one row for each length of vectors
+        sizes = F.broadcast(sizes)
 
     def dealt(part: DataFrame, own: str, others: str, asked: bool) -> DataFrame:
         at = F.pmod(F.xxhash64(F.lit(own), "vec_id"), F.col(own)).cast("int")
@@ -234,7 +238,7 @@ def nearest(
     name = F.concat_ws(" ", "cell_of.dim", "cell_of.shard", "cell_of.block")
     both = both.select(name.alias("cell"), "vec_id", "embedding", "query", "asked")
     placed = on_workers(both).repartition(min(4 * cells, 20_000), "cell").sortWithinPartitions("cell")
-    met = placed.mapInArrow(_cells(k, factor), "query_id long, query long, vec_id long, score double")
+    near = placed.mapInArrow(_cells(k, factor), "query_id long, query long, vec_id long, score double")
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
-    ranked = met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    ranked = near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
