@@ -214,9 +214,8 @@ def variants(counted: DataFrame, *, ratio: int = RATIO) -> DataFrame:
     at least ``ratio`` times the word's, else null.  Its root is where its forms lead; counts grow
     by ``ratio`` with every form, so the way there is short.  A null or empty word is near to none.
     """
-    known = materialise(
-        counted.filter("word <> ''").select(F.monotonically_increasing_id().alias("id"), "word", "n"), "words"
-    )
+    given = materialise(counted.select(F.monotonically_increasing_id().alias("id"), "word", "n"), "words")
+    known = given.filter("word <> ''")
     pairs = near_pairs(known.select("id", "word"))
     left = known.select("id", F.col("word").alias("a"), F.col("n").alias("n_a"))
     right = known.select(F.col("id").alias("other"), F.col("word").alias("b"), F.col("n").alias("n_b"))
@@ -238,7 +237,7 @@ def variants(counted: DataFrame, *, ratio: int = RATIO) -> DataFrame:
         F.when(enough, F.col("best.word")).alias("form"),
         F.when(enough, -F.col("best.n")).alias("form_n"),
     )
-    judged = materialise(judged.unionByName(_unusable(counted)), "judged")
+    judged = materialise(judged.unionByName(_unusable(given)), "judged")
     most = judged.agg(F.max("n")).first()[0] or 1
     roots = judged.filter("form is not null").select("word", F.col("form").alias("root"))
     steps, reach = 0, ratio
