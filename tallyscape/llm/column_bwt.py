@@ -214,9 +214,10 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
     Texts are UTF-8 bytes, null ones empty.  All occurrences go, in whichever document, the same one included.
     Repeated rows are further occurrences.  An empty table gives no rows.
     """
-    signed = repeats.signatures(docs, doc_id, text, SYMBOLS)
+    ids = repeats.Ids.of(docs, doc_id)
+    signed = repeats.signatures(docs, ids, doc_id, text, SYMBOLS)
     classes = repeats.classes_of(signed)
-    texts = repeats.candidates(docs, doc_id, text, signed, classes, by_owner=False)
+    texts = repeats.candidates(docs, ids, doc_id, text, signed, classes, by_owner=False)
     done = repeats.remove(repeated_runs(texts, crowd), texts, SYMBOLS).select(
         "digest", F.col("n_removed").alias("gone"), "n_spans", F.col("sha").alias("new")
     )
@@ -226,7 +227,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
     kept = F.when(copy, F.unhex(F.sha2(F.lit(""), 256))).otherwise(F.coalesce("new", "sha"))
     zero = F.lit(0).cast("long")
     return rows.select(
-        F.when(F.col("id") < F.lit(1 << 62), F.col("id")).alias("doc_id"),
+        ids.shown("id").alias("doc_id"),
         F.col("n").alias("n_bytes"),
         F.when(copy, F.col("n")).otherwise(F.coalesce("gone", zero)).alias("n_removed"),
         F.when(copy, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),

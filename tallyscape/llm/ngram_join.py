@@ -2,8 +2,8 @@
 
 Documents with equal gram sets are one class, and only classes are compared.  Classes meet in buckets by min-hash:
 each of 24 keys holds three minima, so two sets of Jaccard 0.8 share a key with a probability of 1 - 3e-8.
-Buckets are compared in tiles of bounded size, whose members are sorted by set size so that only the band of
-compatible sizes is looked at.  A set's hashed bitmap gives an upper bound of each overlap: grams of one set whose
+Buckets are compared in tiles of bounded size.  A crowded bucket is dealt by bands of set size, such that similar sets
+stand in one band or in neighbouring ones, and only such bands meet in tiles.  A set's hashed bitmap gives an upper bound of each overlap: grams of one set whose
 bits the other lacks cannot be common.  Pairs that pass are decided by intersecting the sorted arrays, unless
 links already found join them.
 
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyscape.llm import rolling
@@ -26,13 +26,14 @@ from tallyscape.llm.buffers import slices
 from tallyscape.llm.common import on_workers
 from tallyscape.llm.graph import components
 from tallyscape.llm.groups import runs
-from tallyscape.llm.repeats import id_of
+from tallyscape.llm.repeats import Ids
 from tallyscape.session import materialise
 
 N = 5  # words in a gram
 PERCENT = 80
 KEYS, MINIMA = 24, 3
 TILE = 256  # classes on one side of a tile
+BAND = 1.26  # ratio of sizes in a band: over 100 / PERCENT, so similar sets are at most one band apart
 _ODD = np.random.default_rng(99).integers(0, 2**63, KEYS * MINIMA, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -82,17 +83,20 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """rep, digest, text to rep, grams: sorted hashes of texts whose digest is the class's."""
+    """rep, digest, text to rep, digest, grams: sorted hashes of texts whose digest is the class's."""
     for batch in batches:
         for row, offsets, data in slices(batch.column(2), 1 << 20):
             hashes, first = gram_sets(offsets, data)
-            ids, sets = [], []
+            ids, digests, sets = [], [], []
             for t in range(len(offsets) - 1):
                 own = np.unique(hashes[first[t] : first[t + 1]])
-                if hashlib.blake2b(own.tobytes(), digest_size=16).digest() == batch.column(1)[row + t].as_py():
+                digest = batch.column(1)[row + t].as_py()
+                if hashlib.blake2b(own.tobytes(), digest_size=16).digest() == digest:
                     ids.append(batch.column(0)[row + t].as_py())
+                    digests.append(digest)
                     sets.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["rep", "grams"])
+            columns = [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "digest", "grams"])
 
 
 def overlap_bounds(sets: list[np.ndarray]) -> np.ndarray:
@@ -172,16 +176,32 @@ def _stars(met: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def _rest(met: DataFrame, joined: DataFrame, grams: DataFrame) -> DataFrame:
-    """Buckets whose classes are not all joined, in full."""
+    """Buckets whose classes are not all joined, in full: each band with itself and with the one above."""
     known = met.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("joined", F.coalesce("component", "rep"))
-    known = materialise(known.select("bucket", "rep", "joined"), "known")
+    known = materialise(known.select("bucket", "size", "rep", "joined"), "known")
     mixed = known.groupBy("bucket").agg(F.count("*").alias("n"), F.min("joined").alias("x"), F.max("joined").alias("y"))
-    mixed = mixed.filter("x < y").select("bucket", F.ceil(F.col("n") / TILE).cast("int").alias("chunks"))
-    chunk = F.pmod(F.xxhash64(F.lit(1), "rep"), F.col("chunks")).cast("int")
-    rows = known.join(mixed, "bucket").withColumn("chunk", chunk)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
-    return _compare(rows.withColumn("tile", F.xxhash64("bucket", "low", "high")).drop("bucket", "chunks", "other"), grams)
+    mixed = mixed.filter("x < y").select("bucket", "n")
+    # What fits in one tile needs no bands.
+    band = F.when(F.col("n") > TILE, F.floor(F.log("size") / F.log(F.lit(BAND)))).otherwise(0).cast("int")
+    rows = known.join(mixed, "bucket").select("bucket", "rep", "joined", band.alias("band"))
+    cells = rows.groupBy("bucket", "band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
+    cells = materialise(cells, "cells")
+    rows = rows.join(cells, ["bucket", "band"])
+    rows = rows.withColumn("own", F.pmod(F.xxhash64(F.lit(1), "rep"), F.col("chunks")).cast("int")).drop("chunks")
+
+    def meeting(step: int, chunk: Column, low: Column, high: Column) -> DataFrame:
+        """Rows with each chunk (``other``) of the band ``step`` above; a tile is named by its lower band."""
+        there = cells.select("bucket", (F.col("band") - step).alias("band"), F.sequence(F.lit(0), F.col("chunks") - 1).alias("all"))
+        pairs = rows.join(there, ["bucket", "band"]).withColumn("other", F.explode("all"))
+        pairs = pairs.withColumns({"chunk": chunk, "low": low, "high": high, "lower": F.col("band") + min(step, 0)})
+        tile = F.xxhash64("bucket", "lower", "low", "high")
+        return pairs.select(tile.alias("tile"), "rep", "joined", "chunk", "low", "high")
+
+    own, other = F.col("own"), F.col("other")
+    met_all = meeting(0, own, F.least(own, other), F.greatest(own, other))
+    # Chunks of the upper band count down from -1, so the two sides of a tile differ.
+    met_all = met_all.unionByName(meeting(1, own, own, -1 - other)).unionByName(meeting(-1, -1 - own, other, -1 - own))
+    return _compare(met_all, grams)
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -191,21 +211,23 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     space, have no grams and link with nothing.  Repeated rows link with each other.  A null id counts as larger
     than all others; a group of null ids alone has a null component.  An empty table gives no rows.
     """
-    rows = docs.select(id_of(doc_id, text).alias("id"), F.col(text).alias("text"))
+    ids = Ids.of(docs, doc_id)
+    rows = docs.select(ids.hidden(doc_id, text).alias("id"), F.col(text).alias("text"))
     signed = materialise(
         on_workers(rows).mapInArrow(_signed, "id long, n long, digest binary, keys array<long>"), "signed"
     )
     filled = signed.filter("n > 0")
     classes = materialise(
-        filled.groupBy("digest").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "classes"
+        filled.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("size"), F.first("keys").alias("keys")),
+        "classes",
     )
-    keyed = classes.select("rep", F.explode("keys").alias("bucket"))
+    keyed = classes.select("rep", "size", F.explode("keys").alias("bucket"))
     crowded = keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     met = materialise(keyed.join(crowded, "bucket"), "buckets")
     wanted = met.select("rep").distinct().join(classes.select("rep", "digest"), "rep")
     texts = rows.select(F.col("id").alias("rep"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(wanted.hint("shuffle_hash"), "rep").select("rep", "digest", "text")
-    grams = materialise(texts.mapInArrow(_sets, "rep long, grams binary").dropDuplicates(["rep"]), "grams")
+    grams = materialise(texts.mapInArrow(_sets, "rep long, digest binary, grams binary").dropDuplicates(["rep", "digest"]), "grams")
     first = _stars(met, grams)
     second = _rest(met, components(first), grams)
     joined = components(first.unionByName(second)).withColumnRenamed("node", "rep")
@@ -214,9 +236,8 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     alone = signed.filter("n = 0").select("id", "n", F.col("id").alias("component"))
     both = filled.select("id", "n", "digest").join(known, "digest").select("id", "n", "component").unionByName(alone)
-    shown = lambda c: F.when(F.col(c) < F.lit(1 << 62), F.col(c))
     return both.select(
-        shown("id").alias("doc_id"), F.col("n").alias("n_shingles"), shown("component").alias("component_id")
+        ids.shown("id").alias("doc_id"), F.col("n").alias("n_shingles"), ids.shown("component").alias("component_id")
     )
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyscape.llm import rolling
@@ -24,10 +24,39 @@ from tallyscape.llm.spans import covered, runs_of
 from tallyscape.session import materialise
 
 
-def id_of(doc_id: str, text: str):
-    """The id, or for a null one a number beyond all ids that depends on the text alone."""
-    beyond = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 3)
-    return F.coalesce(F.col(doc_id).cast("long"), beyond)
+@dataclass(frozen=True)
+class Ids:
+    """Ids of the whole long range, and above the largest of them numbers for rows without one.
+
+    Where rows without id would find no room, all ids move down by ``shift``; ``shown`` gives them back as they were.
+    Only a table with null ids that holds both ends of the long range has no room left: its largest id is then shown
+    as null.
+    """
+
+    shift: int = 0
+    top: int = 2**63 - 1  # the largest known id, after the shift
+
+    @classmethod
+    def of(cls, docs: DataFrame, doc_id: str) -> Ids:
+        known = F.col(doc_id).cast("long")
+        low, high, unknown = docs.agg(F.min(known), F.max(known), F.count_if(known.isNull())).first()
+        if not unknown:
+            return cls()
+        if high is None:
+            return cls(top=0)
+        shift = 0 if high < 1 << 62 else min(low + 2**63, 2**63 - 1)
+        return cls(shift, min(high - shift, 2**63 - 2))
+
+    def hidden(self, doc_id: str, text: str) -> Column:
+        """The id, moved; for a null one a number above all ids that depends on the text alone."""
+        room = min(2**63 - 1 - self.top, 1 << 62)
+        drawn = F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(room))
+        beyond = F.lit(min(self.top + 1, 2**63 - 1)) + drawn
+        known = F.col(doc_id).cast("long")
+        return F.when(known.isNull(), beyond).otherwise(known - F.lit(self.shift))
+
+    def shown(self, name: str) -> Column:
+        return F.when(F.col(name) <= F.lit(self.top), F.col(name) + F.lit(self.shift))
 
 
 @dataclass(frozen=True)
@@ -69,9 +98,9 @@ def whole_text(symbols: Symbols, data: np.ndarray, start: np.ndarray, end: np.nd
     return out[:-1].tobytes()
 
 
-def signatures(docs: DataFrame, doc_id: str, text: str, symbols: Symbols) -> DataFrame:
+def signatures(docs: DataFrame, ids: Ids, doc_id: str, text: str, symbols: Symbols) -> DataFrame:
     """id, n, digest (of the symbols), sha (of the whole text as kept), anchors, twice (anchors met twice)."""
-    rows = docs.select(id_of(doc_id, text).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(ids.hidden(doc_id, text).alias("id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +150,7 @@ def classes_of(signed: DataFrame) -> DataFrame:
 
 
 def candidates(
-    docs: DataFrame, doc_id: str, text: str, signed: DataFrame, classes: DataFrame, *, by_owner: bool
+    docs: DataFrame, ids: Ids, doc_id: str, text: str, signed: DataFrame, classes: DataFrame, *, by_owner: bool
 ) -> DataFrame:
     """digest, first_id, copies, text, shared (anchor, place, crowd): classes with anchors that occur elsewhere too.
 
@@ -150,10 +179,10 @@ def candidates(
         F.first("first_id").alias("first_id"), F.collect_list(F.struct("anchor", "place", "crowd")).alias("shared")
     )
     held = held.join(classes.select("digest", "copies"), "digest")
-    ids = held.select("first_id", "digest", "copies", "shared")
-    texts = docs.select(id_of(doc_id, text).alias("first_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    wanted = held.select("first_id", "digest", "copies", "shared")
+    texts = docs.select(ids.hidden(doc_id, text).alias("first_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # The small side is hashed, so the texts need no sort.
-    return materialise(texts.join(ids.hint("shuffle_hash"), "first_id"), "candidates")
+    return materialise(texts.join(wanted.hint("shuffle_hash"), "first_id"), "candidates")
 
 
 def read_candidates(batches: Iterator[pa.RecordBatch], symbols: Symbols):

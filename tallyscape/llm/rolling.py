@@ -1,11 +1,13 @@
 """Hashes of runs of symbols, and local minima of them, for many texts at once in numpy.
 
 A run's hash is a polynomial in an odd base modulo 2^64 over random values of its symbols, taken from
-running sums, then mixed.
+running sums, then mixed.  Modulo a power of two, long rows of few symbols can be arranged to coincide, so words of
+more than ``LONG`` bytes take a BLAKE2 digest instead, and runs of words and bytes are of bounded length.
 """
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +21,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+LONG = 32  # bytes of a word that are hashed by a polynomial
 
 
 @lru_cache(maxsize=4)
@@ -82,7 +85,12 @@ def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return ranges(running(VALUES[data]), start, end) if len(start) else np.zeros(0, U)
+    if not len(start):
+        return np.zeros(0, U)
+    out = ranges(running(VALUES[data]), start, end)
+    for i in np.flatnonzero(end - start > LONG).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def minima(hashes: np.ndarray, width: int) -> np.ndarray:

@@ -190,9 +190,10 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
     words.  Documents with one id do not shorten each other; a null id counts as larger than all others.  An empty
     table gives no rows.
     """
-    signed = repeats.signatures(docs, doc_id, text, SYMBOLS)
+    ids = repeats.Ids.of(docs, doc_id)
+    signed = repeats.signatures(docs, ids, doc_id, text, SYMBOLS)
     classes = repeats.classes_of(signed)
-    texts = repeats.candidates(docs, doc_id, text, signed, classes, by_owner=True)
+    texts = repeats.candidates(docs, ids, doc_id, text, signed, classes, by_owner=True)
     done = repeats.remove(repeated_runs(texts, crowd), texts, SYMBOLS).select(
         "digest", F.col("n_removed").alias("gone"), F.col("sha").alias("new")
     )
@@ -201,7 +202,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
     copy = (F.col("id") > F.col("first_id")) & (F.col("n") >= WINDOW)  # all its windows are in the first copy
     kept = F.when(copy, F.unhex(F.sha2(F.lit(""), 256))).otherwise(F.coalesce("new", "sha"))
     return rows.select(
-        F.when(F.col("id") < F.lit(1 << 62), F.col("id")).alias("doc_id"),
+        ids.shown("id").alias("doc_id"),
         F.col("n").alias("n_words"),
         F.when(copy, F.col("n")).otherwise(F.coalesce("gone", F.lit(0))).cast("long").alias("n_removed"),
         F.lower(F.hex(kept)).alias("kept_sha256"),

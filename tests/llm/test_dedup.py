@@ -141,3 +141,64 @@ def test_equal_windows_choose_equal_anchors():
     for first in range(11):
         inside = [{x for x in f if first <= x[0] <= first + 34} for f in found]
         assert inside[0] & inside[1]
+
+
+def thue_morse(n, first):
+    return "".join("ab"[(bin(i).count("1") + first) % 2] for i in range(n))
+
+
+def test_words_made_to_coincide_stay_apart(spark):
+    """Long words of two letters, whose polynomials modulo any power of two up to 2^64 are equal."""
+    one, two = thue_morse(2048, 0), thue_morse(2048, 1)
+    rest = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, " ".join([one] * 50)), (2, " ".join([two] * 50)), (3, f"{one} {rest}"), (4, f"{two} {rest}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.drop_repeats(docs).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == repeated_words(rows)
+    got = ngram_join.similar_groups(docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == gram_groups(rows)
+    assert gram_groups(rows)[1][2] == 2
+
+
+BIG = [2**62 + 5, 2**63 - 1, -(2**62), 0, 2**62 + 1000, -(2**63) + 7]
+
+
+@pytest.mark.parametrize("unknown", [0, 2])
+def test_ids_of_the_whole_long_range(spark, unknown):
+    words_ = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join([*words_[:-1], f"end{k}"])) for k, i in enumerate(BIG)]
+    rows += [(None, " ".join([*words_[:-1], f"none{k}"])) for k in range(unknown)] + [(2**62 + 9, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.drop_repeats(docs).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got if r.doc_id is not None) == repeated_words(rows)
+    assert [r.n_removed for r in got if r.doc_id is None] == [119] * unknown  # after all known ids
+    got = column_bwt.drop_repeats(docs).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=repr) == repeated_bytes(rows)
+    got = ngram_join.similar_groups(docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id is not None) == gram_groups(rows)
+    assert [r.component_id for r in got if r.doc_id is None] == [min(BIG)] * unknown
+    assert sorted(r.doc_id for r in ngram_join.drop_similar(docs).collect() if r.doc_id is not None) == [min(BIG), 2**62 + 9]
+
+
+def test_texts_of_one_id_link_each(spark):
+    left, right = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    rows = [(5, " ".join(left)), (5, " ".join(right)), (8, " ".join([*left, "z"])), (9, " ".join([*right, "z"]))]
+    got = ngram_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(5, 5), (5, 5), (8, 5), (9, 5)]
+
+
+def test_similar_sizes_are_at_most_one_band_apart():
+    band = lambda n: int(np.floor(np.log(n) / np.log(ngram_join.BAND)))
+    for n in [*range(1, 5000), 10**6, 10**9]:
+        most = 100 * n // ngram_join.PERCENT
+        assert band(most) - band(n) in (0, 1)
+
+
+def test_crowded_buckets_of_many_sizes(spark, monkeypatch):
+    """Prefixes of one text fall into common buckets: chains of links over bands of size."""
+    monkeypatch.setattr(ngram_join, "TILE", 3)
+    rng = random.Random(4)
+    words_ = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    rows = [(k, " ".join(words_[: 12 + k * 9])) for k in range(43)] + [(100 + k, " ".join(words_[k * 7 :])) for k in range(30)]
+    got = ngram_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == gram_groups(rows)
