@@ -2,8 +2,9 @@
 
 A surrogate is the image of the original under a keyed permutation of all values of the same shape
 (same length, same classes of characters in the same places, same separators).  A permutation never
-sends two values to one, so distinct entities stay distinct and equal ones equal over the whole corpus,
-with no table of replacements to build, ship or keep.  Each text is still checked for collisions.
+sends two values to one, and every image has its original's shape, so distinct entities stay distinct and equal
+ones equal over the whole corpus, with no table of replacements to build, ship or keep.  Each text is still checked
+for collisions, and ``collisions`` checks a whole table.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -24,13 +26,19 @@ from tallyscape.llm.common import on_workers
 
 TYPES = ("email", "card", "ip", "phone", "iban", "name")
 
-EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+_LATIN = "A-Za-z0-9À-ÖØ-öø-ɏ"
+EMAIL = re.compile(
+    rf"(?<![{_LATIN}._%+-])[._%+-]*([{_LATIN}][{_LATIN}._%+-]*@[{_LATIN}-]+(?:\.[{_LATIN}-]+)*\.[A-Za-z]{{2,}})"
+)
 IP = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.]*\d)")
 CARD = re.compile(r"(?<![\dA-Za-z])\d(?:[ -]?\d){12,18}(?![\dA-Za-z])")
 PHONE = re.compile(
     r"(?<![\w.+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}"
-    r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}|\d{3}-\d{2}-\d{4})(?![\w-])"
+    r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}|\d{3}-\d{2}-\d{4}"
+    r"|[2-9]\d{2} \d{3} \d{4}|0\d{2,4}[ -]\d{3,4}[ -]\d{3,4})(?![\w-])"
 )
+#: A bare row of digits is a number to call where a word says so.
+CALLED = re.compile(r"(?i)(?<!\w)(?:tel|phone|telephone|mobile|cell|fax|call|dial|whatsapp)\b[.:]?(?: (?:at|on|me at|number|no\.?))?:? ?(\d{7,15})(?!\w|\.\d)")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 
 #: Titles by gender, then given names by gender and script.
@@ -61,14 +69,31 @@ ALPHABETS = tuple(
     dict.fromkeys(
         x
         for low in ("aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòù", "äöü", "âêîôû", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ",
-                    "αεηιουω", "βγδζθκλμνξπρσςτφχψ", "άέήίόύώ")
+                    "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ")
         for x in (low, low.upper())
     )
 )
-_CLASS = {c: a for a in ALPHABETS for c in a}
+_LISTED = {c: "".join(dict.fromkeys(a)) for a in ALPHABETS for c in a}
 DIGITS, LEADING = "0123456789", "23456789"
 
 
+def _kind(c: str) -> tuple | None:
+    """What another letter must have in common with this one to take its place."""
+    if c in _LISTED or not c.isalpha() or c == "ς":  # final sigma marks an end, not a letter of its own
+        return None
+    turns = len(c.upper()) == len(c.lower()) == 1 and c.upper().lower() == c.lower() and c.lower().upper() == c.upper()
+    return ord(c) >> 8, unicodedata.category(c), unicodedata.name(c, "").split(" ")[0], turns
+
+
+@lru_cache(maxsize=4096)
+def letters_like(c: str) -> str | None:
+    """The letters that may stand for this one: a listed alphabet, else those of its script, case and code page."""
+    kind = _kind(c)
+    if kind is None:
+        return _LISTED.get(c)
+    page = ord(c) >> 8 << 8
+    return "".join(x for x in map(chr, range(page, page + 256)) if _kind(x) == kind)
+
 
 def _one_of(words: Iterable[str]) -> str:
     """A group for whole words.  The look behind follows the first letter, so a search can skip to that."""
@@ -150,21 +175,23 @@ class Surrogates:
     # ---- one function per type: value to surrogate ------------------------------------
 
     def email(self, value: str) -> str:
-        low = value.lower()
+        low = small(value)
         end = low.rindex(".")
         made = self.by_shape(
-            low, "email", [(DIGITS if c.isdigit() else _CLASS.get(c)) if i < end else None for i, c in enumerate(low)]
+            low, "email", [(DIGITS if c in DIGITS else letters_like(c)) if i < end else None for i, c in enumerate(low)]
         )
-        return "".join(m.upper() if c.isupper() else m for m, c in zip(made, value, strict=True))
+        return "".join(m.upper() if c != s else m for m, c, s in zip(made, value, low, strict=True))
 
     def _number(self, value: str, kind: str, keep: int = 0, last: int = 0) -> str:
-        at = [i for i, c in enumerate(value) if c.isdigit()]
+        at = [i for i, c in enumerate(value) if c in DIGITS]
         inner = set(at[keep : len(at) - last])
-        classes = [
-            (LEADING if value[i] in LEADING and not (i and value[i - 1].isdigit()) else DIGITS) if i in inner else None
-            for i in range(len(value))
-        ]
-        return self.by_shape(value, kind, classes)
+
+        def digits(i: int) -> str | None:
+            if i and value[i - 1] in DIGITS:
+                return DIGITS
+            return LEADING if value[i] in LEADING else None  # a group that begins with 0 or 1 goes on to
+
+        return self.by_shape(value, kind, [digits(i) if i in inner else None for i in range(len(value))])
 
     def phone(self, value: str) -> str:
         """Separators, country code and the kind of each group's first digit stay."""
@@ -181,39 +208,54 @@ class Surrogates:
         return made + str((rest - luhn([*digits, 0])) % 10) + value[body[-1] + 1 :]
 
     def ip(self, value: str) -> str:
-        """A private or loopback address stays in its network."""
+        """An address of a special network stays in it; a public one stays public."""
         parts = [int(p) for p in value.split(".")]
-        keep = 0
-        if ipaddress.ip_address(".".join(map(str, parts))).is_private:
-            keep = 2 if parts[0] in (172, 192) else 1
+        keep = special_parts(parts)
         free = [i for i in range(keep, 4) if 1 <= parts[i] <= 254]
         if not free:
             return value
         head = ".".join(str(p) if i not in free else "*" for i, p in enumerate(parts))
-        x = self.shuffle([parts[i] - 1 for i in free], [254] * len(free), f"ip|{head}")
-        for i, d in zip(free, x, strict=True):
-            parts[i] = d + 1
-        return ".".join(map(str, parts))
+        x = [parts[i] - 1 for i in free]
+        while True:  # steps past addresses of the other kind keep the mapping one to one
+            x = self.shuffle(x, [254] * len(free), f"ip|{keep}|{head}")
+            for i, d in zip(free, x, strict=True):
+                parts[i] = d + 1
+            if special_parts(parts) == keep:
+                return ".".join(map(str, parts))
 
     def iban(self, value: str) -> str:
         """Country stays; the check digits are made anew if they were right, else kept."""
         plain = value.replace(" ", "")
-        valid = iban_check(plain) == 1
         letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-        inner = plain[4:]
-        made = self.by_shape(inner, f"iban{plain[:2]}{valid}" + ("" if valid else plain[2:4]), [DIGITS if c.isdigit() else letters for c in inner])
-        check = f"{98 - iban_check(plain[:2] + '00' + made):02d}" if valid else plain[2:4]
-        out = iter(plain[:2] + check + made)
+        country, check, inner = plain[:2], plain[2:4], plain[4:]
+
+        def right(body: str) -> str:
+            return f"{98 - iban_check(country + '00' + body):02d}"
+
+        classes = [DIGITS if c in DIGITS else letters for c in inner]
+        if check == right(inner):
+            made = self.by_shape(inner, f"iban{country}", classes)
+            check = right(made)
+        else:  # what is wrong stays wrong, or it would meet the surrogate of a right one
+            made = self.by_shape(inner, f"iban{country}{check}", classes, lambda x: right(x) == check)
+        out = iter(country + check + made)
         return "".join(c if c == " " else next(out) for c in value)
 
     def given(self, value: str) -> str:
         return self.next.get(value) or self.family(value)
 
     def family(self, value: str) -> str:
-        """Vowels for vowels, consonants for consonants of the same script and case; never a listed given name."""
+        """Vowels for vowels, consonants for consonants of the same script and case; never a listed given name.
+
+        A name all in capitals is the same name: its surrogate in capitals.
+        """
         if value in self.next:
             return self.next[value]
-        return self.by_shape(value, "name", [_CLASS.get(c) for c in value], self.next.__contains__)
+        if len(value) > 1 and value.isupper():
+            plain = re.sub(r"[^\W\d_]+", lambda m: m[0][0] + small(m[0][1:]), value)
+            if plain != value and large(plain) == value:
+                return large(self.given(plain))
+        return self.by_shape(value, "name", [letters_like(c) for c in value], self.next.__contains__)
 
     def of(self, kind: str, value: str) -> str:
         made = self.memory.get((kind, value))
@@ -224,6 +266,27 @@ class Surrogates:
         return made
 
 
+def small(value: str) -> str:
+    """In small letters, place by place; letters whose case cannot be turned back stay."""
+    return "".join(c.lower() if len(c.lower()) == 1 and c.lower().upper() == c else c for c in value)
+
+
+def large(value: str) -> str:
+    return "".join(c.upper() if len(c.upper()) == 1 and c.upper().lower() == c else c for c in value)
+
+
+def special_parts(parts: list[int]) -> int:
+    """How many parts name the special network of an address, 0 for a public one."""
+    address = ipaddress.ip_address(".".join(map(str, parts)))
+    if address.is_global or not (address.is_private or address.is_reserved):
+        return 0
+    if parts[0] in (0, 10, 127) or parts[0] >= 240:
+        return 1
+    if parts[0] in (169, 172) or parts[:2] in ([192, 168], [198, 18], [198, 19]):
+        return 2
+    return 3
+
+
 def luhn(digits: list[int]) -> int:
     """Remainder of the Luhn sum, 0 for a valid number."""
     return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(reversed(digits))) % 10
@@ -252,7 +315,11 @@ def _people(text: str) -> Iterator[tuple[list[tuple[int, int]], bool]]:
     for pattern, titled in ((_TITLE, True), (_FIRST, False)):
         for m in pattern.finditer(text):
             spans, at, after = [] if titled else [m.span(1)], m.end(), False
-            while (part := _PART.match(text, at)) and part[1][0].isupper() and part[1] not in _ENDS:
+            # Scripts without case tell no name by its capital: there one part behind a title counts.
+            while (part := _PART.match(text, at)) and part[1] not in _ENDS:
+                caseless = titled and not spans and len(part[1]) <= 4 and unicodedata.category(part[1][0]) == "Lo"
+                if not (part[1][0].isupper() or caseless):
+                    break
                 start, at = part.span(1)
                 if after and at - start > 1 and _is_word(text, part[1]):
                     break  # a sentence that begins behind an initial
@@ -270,13 +337,14 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, part) of what is found, by start, without overlaps; earlier types win."""
     found: list[tuple[int, int, str, str]] = []
     if "@" in text:
-        found += [(m.start(), m.end(), "email", "email") for m in EMAIL.finditer(text)]
+        found += [(*m.span(1), "email", "email") for m in EMAIL.finditer(text)]
     if re.search(r"\d[\d .()-]{5,}\d", text):
         found += [
             (m.start(), m.end(), "ip", "ip") for m in IP.finditer(text) if all(int(p) < 256 and str(int(p)) == p for p in m[0].split("."))
         ]
         found += [(m.start(), m.end(), "card", "card") for m in CARD.finditer(text)]
         found += [(m.start(), m.end(), "phone", "phone") for m in PHONE.finditer(text)]
+        found += [(*m.span(1), "phone", "phone") for m in CALLED.finditer(text)]
         found += [(m.start(), m.end(), "iban", "iban") for m in IBAN.finditer(text) if any(c.isdigit() for c in m[0][4:])]
     names: dict[str, str] = {}
     for spans, titled in _people(text):
@@ -309,22 +377,54 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
 def replace(text: str, made: Surrogates) -> tuple[str, dict[str, int]]:
     """The text with surrogates, and how many of each type.
 
-    Raises if two different entities of one type meet in one surrogate; with permutations that cannot be.
+    Should two different entities of one type meet in one surrogate, which the permutations rule out, the later one
+    takes the next free step of its own permutation.
     """
     counts = dict.fromkeys(TYPES, 0)
     pieces, at, back = [], 0, {}
     for start, end, kind, part in entities(text):
         value = text[start:end]
         new = made.of(part, value)
-        same = value.lower() if kind == "email" else value
-        if back.setdefault((part, new.lower() if kind == "email" else new), same) != same:
-            raise ValueError(f"two entities of type {kind} share a surrogate")
+        same, plain = (small(value), small) if kind == "email" else (value, str)
+        for _ in range(64):
+            if back.setdefault((part, plain(new)), same) == same:
+                break
+            new = made.of(part, new)
         pieces += [text[at:start], new]
         counts[kind] += 1
         at = end
     return "".join([*pieces, text[at:]]), counts
 
 
+def collisions(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """type, surrogate, originals: surrogates that stand for several originals, over all rows; none are expected.
+
+    Originals are compared by digest and never leave the task as text.  Null and empty texts hold none, repeated
+    rows add none; an empty table gives no rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = Surrogates(hashlib.sha256(key.encode()).digest())
+        for batch in batches:
+            for t in batch.column(0).drop_null().to_pylist():
+                met = set()
+                for start, end, kind, part in entities(t):
+                    value, new = t[start:end], made.of(part, t[start:end])
+                    if kind == "email":
+                        value, new = small(value), small(new)
+                    met.add((kind, new, made._digest(f"original|{kind}|{value}")))
+                if met:
+                    columns = zip(*sorted(met), strict=True)
+                    kinds = (pa.string(), pa.string(), pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["type", "surrogate", "original"]
+                    )
+
+    found = on_workers(docs.select(F.col(f"`{text}`"))).mapInArrow(run, "type string, surrogate string, original binary")
+    count = found.distinct().groupBy("type", "surrogate").agg(F.count("*").alias("originals"))
+    return count.filter("originals > 1")
+
+
 def surrogates(docs: DataFrame, key: str, text: str = "text", *, counts: str = "n_") -> DataFrame:
     """``docs`` with surrogates in ``text``, and a count per type (n_email, n_card, ...).
 

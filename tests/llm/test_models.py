@@ -236,6 +236,68 @@ def test_permutations_are_one_to_one_without_fixed_points():
     assert all(pii._GIVEN[made.given(n)] == pii._GIVEN[n] and made.given(n) != n for n in names)
 
 
+def test_mixed_shapes_never_share_a_surrogate():
+    made = pii.Surrogates(b"k" * 32)
+    rng = np.random.default_rng(3)
+    assert len({made.phone(f"{i:03d}") for i in range(1000)}) == 1000
+    phones = {f"{a:03d}-{b:02d}-{c:04d}" for a, b, c in rng.integers(0, [200, 100, 40], (6000, 3)).tolist()}
+    assert len({made.phone(x) for x in phones}) == len(phones)
+    octets = [0, 1, 8, 9, 10, 100, 127, 169, 172, 192, 198, 203, 216, 224, 255]
+    hosts = {f"{a}.{b}.{c}.{d}" for a in octets for b in (0, 16, 18, 168, 254) for c in (0, 2, 100, 113) for d in (0, 1, 9, 10, 77, 255)}
+    hosts |= {"10.1.2.3", "216.121.99.180"} | {f"192.0.0.{i}" for i in range(256)}
+    images = {x: made.ip(x) for x in hosts}
+    assert len(set(images.values())) == len(hosts)
+    part = lambda x: pii.special_parts([int(p) for p in x.split(".")])
+    assert all(part(a) == part(b) and a.split(".")[: part(a)] == b.split(".")[: part(a)] for a, b in images.items())
+    ibans = {f"DE{c:02d}{b:04d}" + "0" * 12 for c in range(100) for b in range(60)}
+    assert len({made.iban(x) for x in ibans}) == len(ibans)
+    cards = {f"4{i:03d} 0000 0000 {j:04d}" for i in range(30) for j in range(100)}
+    assert len({made.card(x) for x in cards}) == len(cards)
+
+
+def test_letters_of_every_script_take_turns():
+    made = pii.Surrogates(b"k" * 32)
+    for value in ("Weiß", "Łęcka", "Çelik", "Nuñez", "Žižka", "王伟", "محمد", "דוד", "Σωκράτης", "ΣΩΚΡΑΤΗΣ", "Dvořák"):
+        new = made.family(value)
+        assert new != value and len(new) == len(value)
+        assert all(a == b or (a.isupper(), a.islower()) == (b.isupper(), b.islower()) for a, b in zip(value, new))
+    for letters in ("Σςσ", "ßłŁ", "王伟李"):  # one to one in each class of letters
+        for c in letters:
+            alike = pii.letters_like(c) or c
+            assert len(set(alike)) == len(alike) and all(pii.letters_like(x) in (alike, None) for x in alike)
+            assert len({made.family("Q" + x) for x in alike}) == len(alike)
+    assert made.family("SMITH") == made.family("Smith").upper() and made.given("JAMES") == made.given("James").upper()
+    names = {a + b + c for a in "SMÀŁ" for b in "mMłŁß" for c in "iIéÉσΣς"}
+    assert len({made.family(x) for x in names}) == len(names)
+
+
+@pytest.mark.parametrize(
+    "text, gone",
+    [
+        ("from 10.1.2.3 to 216.121.99.180 now", ["10.1.2.3", "216.121.99.180"]),
+        ("Mr 王伟 came", ["王伟"]),
+        ("Frau Łęcka and Herr Weiß met; jürgen.groß@pošta.example.com wrote", ["Łęcka", "Weiß", "jürgen", "pošta"]),
+        ("ring 020 7946 0958 or 555 123 4567, or call 5551234567.", ["7946", "4567", "5551234567"]),
+        ("Mr SMITH is here; Smith is not.", ["SMITH"]),
+    ],
+)
+def test_entities_once_left_in_clear(text, gone):
+    new, _ = pii.replace(text, pii.Surrogates(b"k" * 32))
+    assert not [x for x in gone if x in new] and len(new.split()) == len(text.split())
+
+
+def test_numbers_that_are_none_stay():
+    for text in ("id 5551234567 and 100 200 3000", "a_b@ @c.de x" * 50, "recall 12345678", "w" * 200_000 + " @ " + "é" * 200_000):
+        assert pii.replace(text, pii.Surrogates(b"k" * 32))[0] == text
+
+
+def test_no_collisions_over_a_table(spark, no_docs):
+    hosts = [f"{a}.{b}.7.9" for a in range(1, 250, 3) for b in range(0, 250, 25)]
+    rows = [(f"from {x} by u{i}@h{i % 7}.example.com, {i % 1000:03d}-{i % 100:02d}-{i:04d}",) for i, x in enumerate(hosts)]
+    assert pii.collisions(spark.createDataFrame([*rows, (None,), ("",), rows[0]], "text string"), "key").count() == 0
+    assert pii.collisions(no_docs, "key").count() == 0
+
+
 def test_surrogates_of_a_table(docs, no_docs, rows_in):
     clash = docs.withColumnRenamed("digest", "n_email")
     out = pii.surrogates(clash, "key")
