@@ -8,6 +8,8 @@ one against it, so the work follows the number of parts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,32 @@ COMPLEMENTS = {"endpoint": ("assign", "access"), "bare": ("access", "endpoint")}
 SCOPE = 400  # code points between two parts of one credential
 
 _SPAN = "array<struct<start:int,rank:int,end:int>>"
+CHUNK = 256  # elements that a sweep puts together at a time
+
+
+def _sweep(items: Column, state: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """One array from all that ``step`` gives for (state, item), which also hands on the state.
+
+    Appending copies an array, so results are gathered by chunks, then the chunks: near linear for any length.
+    """
+    none, nothing = F.expr(f"cast(array() as {kind})"), F.expr(f"cast(array() as array<{kind}>)")
+
+    def one(done: Column, item: Column) -> Column:
+        after, made = step(done["state"], item)
+        return F.struct(after.alias("state"), F.concat(done["out"], made).alias("out"))
+
+    def some(done: Column, part: Column) -> Column:
+        begin = F.struct(done["state"].alias("state"), none.alias("out"))
+        joined = lambda end: F.struct(end["state"].alias("state"), F.concat(done["out"], F.array(end["out"])).alias("out"))
+        return F.aggregate(part, begin, one, joined)
+
+    def swept(held: Column) -> Column:  # ``held`` is bound once, not computed anew for each chunk
+        starts = F.sequence(F.lit(1), F.greatest(F.size(held), F.lit(1)), F.lit(CHUNK))
+        chunks = F.transform(starts, lambda i: F.slice(held, i, CHUNK))
+        begin = F.struct(state.alias("state"), nothing.alias("out"))
+        return F.aggregate(chunks, begin, some, lambda end: F.flatten(end["out"]))
+
+    return F.get(F.transform(F.array(items), swept), F.lit(0))
 
 
 def _found(text: Column, pattern: str, rank: int, passing=None) -> Column:
@@ -48,15 +76,14 @@ def _found(text: Column, pattern: str, rank: int, passing=None) -> Column:
     if passing is None:
         passing = lambda hit: F.lit(True)
 
-    def step(done: Column, x: Column) -> Column:
-        start = done["at"] + F.length(x["gap"])
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
         more = F.when(x["hit"].isNotNull() & passing(x["hit"]), F.array(span)).otherwise(F.expr(f"cast(array() as {_SPAN})"))
-        return F.struct(end.alias("at"), F.concat(done["spans"], more).alias("spans"))
+        return end, more
 
-    none = F.expr(f"named_struct('at', 0, 'spans', cast(array() as {_SPAN}))")
-    spans = F.aggregate(zipped, none, step, lambda done: done["spans"])
+    spans = _sweep(zipped, F.lit(0), _SPAN, step)
     # Most texts hold nothing of a kind; they are searched once.
     return F.when(F.regexp_like(text, F.lit(pattern)), spans).otherwise(F.expr(f"cast(array() as {_SPAN})"))
 
@@ -65,18 +92,17 @@ def _near(parts: Column, scope: int) -> Column:
     """For each part of a sorted array, whether an earlier one of each kind reaches to ``scope`` before it, or beyond."""
     ends = ", ".join(f"'e{k}', cast(null as int)" for k in range(len(KINDS)))
     kind = "array<struct<part:struct<start:int,rank:int,end:int>,near:array<boolean>>>"
-    first = F.expr(f"named_struct({ends}, 'out', cast(array() as {kind}))")
 
-    def step(done: Column, x: Column) -> Column:
+    def step(done: Column, x: Column) -> tuple[Column, Column]:
         near = F.array(*[F.coalesce(x["start"] - done[f"e{k}"] <= scope, F.lit(False)) for k in range(len(KINDS))])
         item = F.struct(x.alias("part"), near.alias("near"))
         reach = [
             F.when(x["rank"] == k, F.greatest(done[f"e{k}"], x["end"])).otherwise(done[f"e{k}"]).alias(f"e{k}")
             for k in range(len(KINDS))
         ]
-        return F.struct(*reach, F.concat(done["out"], F.array(item)).alias("out"))
+        return F.struct(*reach), F.array(item)
 
-    return F.aggregate(parts, first, step, lambda done: done["out"])
+    return _sweep(parts, F.expr(f"named_struct({ends})"), kind, step)
 
 
 def _listed(spans: Column) -> Column:
