@@ -227,11 +227,33 @@ FROM facts JOIN entities USING (entity_id) JOIN categories USING (category_id)
 WHERE category = 'PROMO' AND period = (SELECT max(period) FROM facts)
 GROUP BY entity ORDER BY total DESC, entity LIMIT 5"""
 
+
+def _digests(rows: str, columns: list[str]) -> str:
+    """Rows and digest of each period: sums of the halves of the rows' MD5, under MD5 again."""
+    text = " || '|' || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    half = "CAST(sum(CAST('0x' || substr(d, {}, 15) AS BIGINT)) AS VARCHAR)"
+    return f"""SELECT CAST(period AS INT) AS period, count(*) AS rows,
+        md5(CAST(count(*) AS VARCHAR) || ':' || {half.format(1)} || ':' || {half.format(16)}) AS digest
+        FROM (SELECT period, md5({text}) AS d FROM ({rows})) GROUP BY period"""
+
+
 CHECKS: dict[str, str] = {
     "scan_count": "SELECT count(*) AS rows FROM lineitem",
     "table_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS record_count FROM {t}" for t in _TABLES
     ),
+    "table_digests": _digests(
+        "SELECT year(o_orderdate) AS period, o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
+        ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"],
+    ),
+    "period_reload": _digests(
+        """SELECT o_custkey AS entity_id, p_type AS category, period, CAST(measure * CASE WHEN period = max(period) OVER () THEN 2 ELSE 1 END AS BIGINT) AS measure
+        FROM (SELECT o_custkey, p_type, CAST(year(o_orderdate) AS INT) AS period, sum(CAST(l_quantity AS BIGINT)) AS measure FROM lineitem
+        JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL)""",
+        ["entity_id", "category", "measure"],
+    ),
+    "distinct_by_sketch": """SELECT p_type AS category, count(DISTINCT o_custkey) AS customers, TRUE AS within FROM lineitem
+        JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey GROUP BY p_type""",
     "existing_table_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS record_count FROM {t}"
         for t in ["customer", "nation", "orders", "part"]

@@ -19,12 +19,14 @@ from tallyscape.operators import (
     quality,
     reports,
     reshape,
+    sketches,
     stats,
     warehouse,
 )
 from tallyscape.plans import stages
 from tallyscape.plans.retail import TABLES, Retail
 from tallyscape.session import checkpoint_dir, materialise
+from tallyscape.sinks import files
 from tallyscape.sources.tables import literal_table, read_query
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +59,35 @@ def table_counts(t: Retail) -> DataFrame:
     return quality.table_counts({n: t.table(n) for n in TABLES})
 
 
+@query
+def table_digests(t: Retail) -> DataFrame:
+    orders = t.table("orders").withColumn("period", F.year("o_orderdate").cast("int"))
+    return sketches.table_digest(orders, ["period"], ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+
+
+@query
+def period_reload(t: Retail) -> DataFrame:
+    """Counts by customer, type and year, stored by year; the last year is loaded again, doubled, the others stay."""
+    stored = t.long.select("entity_id", "category", F.col("period").cast("int").alias("period"), "measure")
+    path = f"{checkpoint_dir(t.spark).rstrip('/')}/{t.spark.sparkContext.applicationId}/periods-{uuid4().hex}"
+    files.reload_partitions(stored, path, ["period"])
+    table = t.spark.read.schema(stored.schema).parquet(path)
+    last = table.agg(F.max("period")).first()[0]
+    again = materialise(table.filter(F.col("period") == last).withColumn("measure", F.col("measure") * 2), "again")
+    files.reload_partitions(again, path, ["period"])
+    return sketches.table_digest(t.spark.read.schema(stored.schema).parquet(path), ["period"], ["entity_id", "category", "measure"])
+
+
+@query
+def distinct_by_sketch(t: Retail) -> DataFrame:
+    """Customers of each type from sketches kept by type and year, beside the exact count."""
+    kept = materialise(sketches.distinct_sketches(t.lines, ["category", "period"], "entity_id"), "sketches")
+    exact = t.lines.groupBy("category").agg(F.count_distinct("entity_id").alias("customers"))
+    both = exact.join(sketches.merged_distinct(kept, ["category"]), "category")
+    within = F.abs(F.col("distinct_values") - F.col("customers")) <= 0.065 * F.col("customers")  # five standard errors
+    return both.select("category", "customers", within.alias("within"))
+
+
 @query
 def existing_table_counts(t: Retail) -> DataFrame:
     """The given tables as views under a prefix of their own; they are gone when the counts are known."""

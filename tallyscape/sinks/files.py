@@ -27,6 +27,18 @@ def write_parquet(
     _writer(df, mode, files, partition_by).parquet(path)
 
 
+def reload_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace the partitions of a Parquet directory that ``df`` has rows of; all others stay as they are.
+
+    Running it twice gives the same table, so a period can be loaded again after a failure without touching the
+    rest.  Rows are placed by partition first, so a partition gets a few files and not one from every task; a
+    partition much larger than others is split by adaptive execution.  A partition without new rows stays, and
+    an empty ``df`` changes nothing.
+    """
+    placed = df.hint("rebalance", *partition_by)
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def write_csv(
     df: DataFrame,
     path: str,
