@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyscape.functions.columns import column
+from tallyscape.operators.distances import BLOCK_BYTES, compared
 from tallyscape.operators.features import assemble, scaled_features
+from tallyscape.session import materialise
 
 PARTITIONS = 16
-MAX_CENTRE_BYTES = 64 << 20  # of the centres that every task holds
 
 # The training settings results are compared under.
 SEED, MAX_ITER, TOL = 42, 50, 1e-4
@@ -127,53 +128,25 @@ def squared_distance(a: Column, b: Column) -> Column:
     )
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once per row, however often ``use`` names it."""
-    return F.transform(F.array(value), use)[0]
-
-
-def _one_value(rows: DataFrame, fields: Sequence[str], limit: int) -> Column:
-    """A table of one row per cluster as a single array, raising if it exceeds ``limit`` bytes.
-
-    The rows are weighed in an aggregate of their own first, so no task gathers more than the limit.
-    """
-    each = F.lit(8 * len(fields)) + 8 * F.coalesce(F.size("centre"), F.lit(0))
-    weight = rows.agg(F.coalesce(F.sum(each), F.lit(0)).alias("bytes")).scalar()
-    too_many = F.raise_error(F.lit(f"the centres hold more than {limit} bytes"))
-    checked = rows.select(F.when(weight > limit, too_many.cast("int")).alias("none"), F.struct(*fields).alias("c"))
-    return checked.agg(F.sort_array(F.collect_list(F.when(F.col("none").isNull(), F.col("c")))).alias("c")).scalar()
-
-
 def nearest_centre(
     df: DataFrame,
     features: Column,
     centres: DataFrame,
     *,
     cluster: str = "cluster_id",
-    max_bytes: int = MAX_CENTRE_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Adds the nearest centre's id and the squared distance to it; ties go to the lowest id.
 
-    A row with a missing feature gets neither.  ``centres`` has columns ``cluster_id`` and ``centre``
-    (array of double).  It is read as one value of at most ``max_bytes``; a larger table raises.
+    A row with a missing or infinite feature gets neither.  ``centres`` has columns ``cluster_id`` and ``centre``
+    (array of double), any number of rows: they are read in blocks of ``block_bytes``, with a pass over the
+    rows for each.  A centre with a missing or infinite number is nobody's nearest.
     """
-    table = _one_value(centres, ["cluster_id", "centre"], max_bytes)
-    nearest = _once(
-        features,
-        lambda x: F.array_min(
-            F.transform(
-                F.col("_table"),
-                lambda c: F.struct(squared_distance(x, c["centre"]).alias("d"), c["cluster_id"].alias("id")),
-            )
-        ),
-    )
-    return (
-        df.withColumn("_table", table)
-        .withColumn("_nearest", nearest)
-        .withColumn("_nearest", F.when(F.col("_nearest.d").isNotNull() & ~F.isnan("_nearest.d"), F.col("_nearest")))
-        .withColumns({cluster: F.col("_nearest.id"), "distance": F.col("_nearest.d")})
-        .drop("_table", "_nearest")
+    held = centres.select(
+        "cluster_id", "centre", F.lit(0.0).alias("extra"), F.lit(1).cast("long").alias("size")
     )
+    found, added = compared(df, features, held, block_bytes=block_bytes)
+    return found.withColumns({cluster: F.col("_best_id"), "distance": F.col("_best")}).drop(*added)
 
 
 def moments(df: DataFrame, features: str | Sequence[str], cluster: str) -> DataFrame:
@@ -220,50 +193,29 @@ def silhouettes(
     cluster: str,
     *,
     output: str = "silhouette",
-    max_bytes: int = MAX_CENTRE_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Adds each row's silhouette under squared Euclidean distance.
 
     The mean squared distance of a row to a cluster is its squared distance to the
     centre plus the cluster's spread, so no pairs of rows are formed: every row is
-    compared with one value per cluster.  A cluster of one row scores 0.  A single cluster has no
-    silhouette: it raises.
+    compared with one value per cluster, read in blocks as in ``nearest_centre``.  A cluster of one row scores 0.
+    A row without cluster, or with a missing feature, has none.  A single cluster has no silhouette: it raises.
     """
     x = column(features).cast("array<double>") if isinstance(features, str) else F.array(
         *[column(c).cast("double") for c in features]
     )
-    table = _one_value(
-        moments(df, features, cluster), ["cluster_id", "size", "centre", "spread"], max_bytes
-    )
+    table = materialise(moments(df, features, cluster), "moments")
     single = F.raise_error(F.lit("a silhouette needs two clusters")).cast("double")
-    distances = _once(
-        x,
-        lambda v: F.transform(
-            F.col("_table"),
-            lambda m: F.struct(
-                (m["cluster_id"] == column(cluster)).alias("own"),
-                m["size"].alias("size"),
-                (squared_distance(v, m["centre"]) + m["spread"]).alias("d"),
-            ),
-        ),
-    )
-    mine = F.filter(F.col("_distances"), lambda m: m["own"])[0]
-    others = F.transform(F.filter(F.col("_distances"), lambda m: ~m["own"]), lambda m: m["d"])
-    size, a, b = F.col("_mine.size"), F.col("_a"), F.col("_b")
-    score = (
-        F.when(F.size("_distances") < 2, single)
-        .when((size == 1) | (a == b), 0.0)
-        .otherwise((b - a) / F.greatest(a, b))
-    )
-    return (
-        df.withColumn("_table", table)
-        .withColumn("_distances", distances)
-        .withColumns({"_mine": mine, "_b": F.array_min(others)})
-        # the row itself is at distance 0 from the cluster it is averaged over
-        .withColumn("_a", F.try_divide(F.col("_mine.d") * size, size - 1))
-        .withColumn(output, score)
-        .drop("_table", "_distances", "_mine", "_a", "_b")
-    )
+    few = table.limit(2).count() < 2
+    held = table.select("cluster_id", "centre", F.col("spread").alias("extra"), "size")
+    found, added = compared(df, x, held, own=column(cluster), block_bytes=block_bytes)
+    size, b = F.col("_own_size"), F.col("_best")
+    # the row itself is at distance 0 from the cluster it is averaged over
+    a = F.try_divide(F.col("_own_value") * size, size - 1)
+    score = F.when((size == 1) | (a == b), 0.0).otherwise((b - a) / F.greatest(a, b))
+    score = F.when(size.isNotNull(), score)
+    return found.withColumn(output, single if few else score).drop(*added)
 
 
 def silhouette_gate(scores: DataFrame, *, threshold: float = GOOD_SILHOUETTE, silhouette: str = "silhouette") -> DataFrame:

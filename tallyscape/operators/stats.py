@@ -8,13 +8,15 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from tallyscape.functions.columns import known_as_is, known_values
+from tallyscape.functions.columns import column, known_as_is, known_values
 from tallyscape.operators.quality import _per_column
 from tallyscape.operators.quantiles import quantiles
 from tallyscape.session import with_package
+from tallyscape.sources.files import footer_session
 
 BLOCK = 1024  # columns whose pairs a task sums up at once
 _CELLS = 1 << 20  # values of a batch multiplied at a time
@@ -35,6 +37,37 @@ def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def footer_profile(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """column_name, rows, present, least, greatest of whole-number columns of a Parquet table, from its footers.
+
+    Counts read no row, whatever the size of the table, nor do the bounds of columns without nulls.  A column with nulls
+    is read for its bounds, as a part of a file that holds nulls only has none in its footer; one without any value has none at all.
+    Columns of other types raise: footers cut long texts and know no NaN.
+    """
+    table = footer_session(spark).read.parquet(path)
+    other = [c for c in columns if not isinstance(table.schema[c].dataType, IntegralType)]
+    if other:
+        raise ValueError(f"not whole numbers: {', '.join(other)}")
+    counts = table.agg(F.count(F.lit(1)), *[F.count(column(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    n, *present = (v or 0 for v in counts)  # without any file a count from footers is null
+
+    def bounds(rows: DataFrame, some: Sequence[int]) -> DataFrame:
+        both = rows.agg(*[f(column(columns[i])).alias(f"{f.__name__}{i}") for i in some for f in (F.min, F.max)])
+        packed = [
+            F.struct(
+                F.lit(columns[i]).alias("column_name"), F.lit(n).cast("long").alias("rows"), F.lit(present[i]).cast("long").alias("present"),
+                F.col(f"min{i}").cast("long").alias("least"), F.col(f"max{i}").cast("long").alias("greatest"),
+            )
+            for i in some
+        ]
+        return both.select(F.inline(F.array(*packed)))
+
+    whole = [i for i in range(len(columns)) if present[i] == n]
+    gaps = [i for i in range(len(columns)) if present[i] < n]
+    parts = [bounds(rows, some) for rows, some in ((table, whole), (spark.read.parquet(path), gaps)) if some]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, min, exact quartiles and max, one row per column."""
     quartiles = quantiles(df, columns, [0.25, 0.5, 0.75])

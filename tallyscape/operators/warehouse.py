@@ -252,3 +252,25 @@ def valid_facts(facts: DataFrame, dimension_table: DataFrame, key: str) -> DataF
     """All other rows: those with a key of the dimension, and those with none."""
     matched = facts.join(dimension_table.select(column(key)), key, "left_semi")
     return matched.unionByName(facts.filter(column(key).isNull()))
+
+
+def store_facts(
+    facts: DataFrame,
+    table: str,
+    path: str,
+    *,
+    buckets: int,
+    entity_id: str = "entity_id",
+    period: str = "period",
+) -> DataFrame:
+    """Write the facts as a table of the catalogue, a folder for each period, in buckets sorted by entity.
+
+    Reports per entity and joins by entity then need no shuffle of the facts, and those of one period read its
+    folder only.  Rows are placed by bucket before, so a period has one file for each bucket.  ``buckets`` should
+    leave some 256 MB to a bucket of all periods.  An entity has at most a fact for each category and period,
+    so none outgrows its bucket.  A table of that name is replaced.
+    """
+    placed = facts.repartition(buckets, column(entity_id))
+    writer = placed.write.format("parquet").mode("overwrite").option("path", path)
+    writer.partitionBy(period).bucketBy(buckets, entity_id).sortBy(entity_id).saveAsTable(table)
+    return facts.sparkSession.table(table)

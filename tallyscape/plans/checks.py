@@ -383,6 +383,15 @@ CHECKS: dict[str, str] = {
         FROM facts JOIN categories USING (category_id) GROUP BY category, period""",
     "top5_latest_period": _TOP5,
     "sql_top5_latest_period": _TOP5,
+    "stored_top5_latest_period": _TOP5,
+    "stored_entity_totals": f"""WITH {_FACTS}
+        SELECT c_name AS entity, c_mktsegment AS cluster_id, count(measure) AS facts, CAST(sum(measure) AS BIGINT) AS total
+        FROM customer LEFT JOIN facts ON entity_id = c_custkey GROUP BY c_name, c_mktsegment""",
+    "footer_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS rows, count({c}) AS present, "
+        f"CAST(min({c}) AS BIGINT) AS least, CAST(max({c}) AS BIGINT) AS greatest FROM lineitem"
+        for c, _ in _LINE_COLUMNS[:4]
+    ),
     "cluster_sizes": f"WITH {_NEAREST} SELECT cluster_id, count(*) AS members FROM assignment GROUP BY cluster_id",
     "entities_per_cluster": f"""WITH {_NEAREST}, twice AS (SELECT * FROM assignment UNION ALL SELECT * FROM assignment)
         SELECT cluster_id, count(DISTINCT entity) AS entities FROM twice GROUP BY cluster_id""",

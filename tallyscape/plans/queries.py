@@ -451,6 +451,19 @@ def top5_latest_period(t: Retail) -> DataFrame:
     return reports.top_entities_in_latest_period(t.facts, t.entities, t.categories, "PROMO")
 
 
+@query
+def stored_top5_latest_period(t: Retail) -> DataFrame:
+    """The same report from facts stored by period and customer."""
+    return reports.top_entities_in_latest_period(t.stored_star, t.entities, t.categories, "PROMO")
+
+
+@query
+def stored_entity_totals(t: Retail) -> DataFrame:
+    """Number and sum of every customer's facts, from the buckets without a shuffle of the facts."""
+    segments = t.table("customer").select(F.col("c_name").alias("entity"), F.col("c_mktsegment").alias("cluster_id"))
+    return reports.entity_cluster_report(segments, t.entities, t.stored_star)
+
+
 @query
 def sql_top5_latest_period(t: Retail) -> DataFrame:
     """The same report as SQL text, with the category as a bound value."""
@@ -555,6 +568,13 @@ def min_max(t: Retail) -> DataFrame:
     return stats.min_max(t.wide_plan(), t.measures)
 
 
+@query
+def footer_profile(t: Retail) -> DataFrame:
+    """Counts and bounds of the key columns of the order lines, from file footers."""
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    return stats.footer_profile(t.spark, f"{t.folder}/lineitem.parquet", keys)
+
+
 @query
 def describe(t: Retail) -> DataFrame:
     return rounded(stats.describe(t.table("lineitem"), LINE_MEASURES))

@@ -6,6 +6,7 @@ entity = customer, category = part type, period = year of the order, measure = q
 from __future__ import annotations
 
 from functools import cached_property
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql.window import Window
 
 from tallyscape.functions.text import snake_name
 from tallyscape.operators import cluster, features, reshape, warehouse
-from tallyscape.session import materialise
+from tallyscape.session import checkpoint_dir, materialise
 from tallyscape.sources.files import read_parquet
 
 TABLES = (
@@ -117,6 +118,14 @@ class Retail:
         loaded.stored, loaded._tables = True, self._tables
         return loaded
 
+    @cached_property
+    def stored_star(self) -> DataFrame:
+        """The fact table in buckets by customer and a folder for each period."""
+        name = f"facts_{uuid4().hex}"
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/{self.spark.sparkContext.applicationId}/{name}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return warehouse.store_facts(self.facts, name, path, buckets=buckets)
+
     # ---- wide table and clusters -------------------------------------------------
 
     def _widen(self, rows: DataFrame, measure: str) -> DataFrame:

@@ -42,3 +42,20 @@ def read_inferred_csv(spark: SparkSession, path: str, *, sampling: float = 1.0)
         .option("samplingRatio", sampling)
         .csv(path)
     )
+
+
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose Parquet scans answer counts, least and greatest values from footers.
+
+    It has its own settings, so those of ``spark`` stay; only a scan without filters, grouped by nothing or by
+    partition columns, is answered that way, any other is read as usual.
+    """
+    own = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.checkpoint.dir"):
+        value = spark.conf.get(name, None)
+        if value is not None and own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    used = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in used if s.strip() != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own

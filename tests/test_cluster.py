@@ -60,10 +60,60 @@ def test_nearest_centre_and_its_ties(spark, points):
     assert rows(got.select("cluster_id", "distance"))[:4] == [(3, 0.0), (3, 1.0), (3, 4.0), (5, 0.0)]
 
 
-def test_too_many_centres_raise(spark, points):
-    centres = spark.createDataFrame([(i, [0.0, 0.0]) for i in range(4)], "cluster_id int, centre array<double>")
-    with pytest.raises(Exception, match="more than 90 bytes"):
-        cluster.nearest_centre(points, features.as_array(["x", "y"]), centres, max_bytes=90).collect()
+@pytest.mark.parametrize("block_bytes", [1 << 20, 800, 8])
+def test_blocks_of_centres_give_the_nearest_of_all(spark, block_bytes):
+    rng = np.random.default_rng(7)
+    many = 40 if block_bytes == 800 else 4 if block_bytes == 8 else 5000
+    c = np.round(rng.normal(size=(many, 3)), 1) * rng.choice([1.0, 30.0], size=(many, 1))  # rounded: many ties
+    x = np.round(rng.normal(size=(300, 3)), 1) * rng.choice([1.0, 30.0], size=(300, 1))
+    centres = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(c)], "cluster_id int, centre array<double>")
+    data = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<double>")
+    got = cluster.nearest_centre(data, F.col("v"), centres, block_bytes=block_bytes).orderBy("id").collect()
+    d = np.cumsum((x[:, None, :] - c[None]) ** 2, axis=2)[:, :, -1]
+    assert [r.cluster_id for r in got] == d.argmin(1).tolist() and [r.distance for r in got] == d.min(1).tolist()
+
+
+def test_a_hundred_thousand_centres(spark):
+    n = 100_000
+    centres = spark.range(n).select(
+        F.col("id").alias("cluster_id"), F.array(F.col("id") * 1.0, *[F.lit(0.0)] * 7).alias("centre")
+    )
+    data = spark.range(200).select("id", F.array(F.col("id") * 499.25, *[F.lit(0.0)] * 7).alias("v"))
+    got = cluster.nearest_centre(data, F.col("v"), centres, block_bytes=4 << 20).collect()
+    assert len(got) == 200
+    for r in got:
+        want = min(np.ceil(r.id * 499.25 - 0.5), n - 1)
+        assert (r.cluster_id, r.distance) == (want, (r.id * 499.25 - want) ** 2)
+
+
+def test_blocks_change_no_silhouette(spark):
+    rng = np.random.default_rng(5)
+    x, label = rng.normal(size=(120, 2)), rng.integers(0, 6, 120)
+    data = spark.createDataFrame(
+        [(i, f"c{g}", v.tolist()) for i, (g, v) in enumerate(zip(label.tolist(), x))], "id int, g string, v array<double>"
+    )
+    whole, cut = (
+        [r[0] for r in cluster.silhouettes(data, "v", "g", block_bytes=b).orderBy("id").select("silhouette").collect()]
+        for b in (1 << 20, 32)
+    )
+    assert whole == cut
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    for i in range(120):
+        mean = {g: d[i, label == g].sum() / ((label == g).sum() - (g == label[i])) for g in range(6)}
+        a, b = mean.pop(label[i]), min(mean.values())
+        assert whole[i] == pytest.approx((b - a) / max(a, b))
+
+
+def test_centres_and_rows_that_fit_nowhere(spark):
+    inf = float("inf")
+    centres = spark.createDataFrame(
+        [(0, [None, 0.0]), (1, [inf, 0.0]), (None, [0.0, 0.0]), (3, [5.0, 0.0]), (4, [])], "cluster_id int, centre array<double>"
+    )
+    data = spark.createDataFrame([(0, [0.0, 0.0]), (1, [inf, 0.0]), (2, None), (3, [1.0]), (4, [1e200, 0.0])], "id int, v array<double>")
+    got = rows(cluster.nearest_centre(data, F.col("v"), centres).orderBy("id").select("cluster_id"))
+    assert [r[0] for r in got] == [3, None, None, None, 3]
+    none = cluster.nearest_centre(data, F.col("v"), centres.filter("false"))
+    assert {tuple(r) for r in none.select("cluster_id", "distance").collect()} == {(None, None)}
 
 
 def test_a_missing_feature_has_no_nearest_centre(spark, points):
