@@ -54,7 +54,7 @@ def test_one_period_reads_one_folder(spark, star):
     # what is shuffled are sums by category and period, not facts
     assert plan(averages).count("partial_sum(measure") == 1
     assert bag(averages) == bag(reports.average_by_category_and_period(facts, categories))
-    recent = spark.createDataFrame([(2020, True)], "period int, wanted boolean").filter("wanted")
+    recent = spark.createDataFrame([(2020, "now"), (2019, "then")], "period int, name string").filter("name = 'now'")
     pruned = stored.join(F.broadcast(recent), "period")
     assert "dynamicpruning" in plan(pruned) and pruned.count() == facts.filter("period = 2020").count()
 
