@@ -1,14 +1,15 @@
 """Near-duplicate vectors by randomised-rotation binary codes.
 
 A unit vector is rotated at random and stored as the signs of its coordinates, with the inner product of
-the vector and its code as correction factor.  Codes give two things.  Slices of their bits are the buckets
-in which vectors meet.  And <code of a, b> divided by a's factor is an unbiased estimate of <a, b>, with a
+the vector and its code as correction factor.  Codes give two things.  Slices of their bits, longer and more of them
+the more vectors there are, are the buckets in which vectors meet.  And <code of a, b> divided by a's factor is an unbiased estimate of <a, b>, with a
 known error bound; pairs whose upper bound falls short of the threshold are done, the others are recomputed
 exactly in double precision.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +24,8 @@ from tallyscape.llm.groups import lowest, runs
 from tallyscape.session import materialise
 
 THRESHOLD = 0.98
-TABLES, BITS = 12, 11  # at cosine 0.98 two vectors share no bucket with a probability of 4e-4
+BITS, CROWD = 11, 512  # bits of a bucket up to so many vectors of a label; one more each time they double
+MISSED = 4e-4  # probability that two vectors at the threshold share no bucket
 SIGMAS = 4.0  # width of the confidence bound
 TILE = 256  # vectors on one side of a tile
 SEED = 11
@@ -40,14 +42,25 @@ def rotations(dim: int, count: int, seed: int = SEED) -> np.ndarray:
     return np.array(out)
 
 
-def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signs (n, rotations, dim), correction factors (n, rotations) and bucket of each table (n, TABLES)."""
+def shape(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
+    """Tables and bits of a table for labels of up to ``n`` vectors.
+
+    Bits follow log2 of the vectors, so that what meets by chance in a bucket does not grow with them; tables
+    follow the bits, so that a pair at the threshold meets as surely whatever their number.
+    """
+    bits = BITS + max(0, math.ceil(math.log2(max(n, 1) / CROWD)))
+    alike = (1 - math.acos(threshold) / math.pi) ** bits
+    return math.ceil(math.log(MISSED) / math.log1p(-alike)), bits
+
+
+def encode(vectors: np.ndarray, tables: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signs (n, rotations, dim), correction factors (n, rotations) and bucket of each table (n, tables)."""
     n, dim = vectors.shape
-    turned = np.einsum("rij,nj->nri", rotations(dim, -(-TABLES * BITS // dim)), vectors)
+    turned = np.einsum("rij,nj->nri", rotations(dim, -(-tables * bits // dim)), vectors)
     signs = turned > 0
     factors = np.abs(turned).sum(2) / np.sqrt(dim)
-    bits = signs.reshape(n, -1)[:, : TABLES * BITS].reshape(n, TABLES, BITS)
-    return signs, factors, bits @ (1 << np.arange(BITS))
+    slices = signs.reshape(n, -1)[:, : tables * bits].reshape(n, tables, bits)
+    return signs, factors, slices @ (1 << np.arange(bits))
 
 
 def upper_bounds(signs: np.ndarray, factors: np.ndarray, right: np.ndarray, sigmas: float = SIGMAS) -> np.ndarray:
@@ -69,9 +82,14 @@ def _unit(raw: list[bytes]) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """vec_id, label, embedding (doubles) to the columns of _CODED; unusable vectors have no dim."""
-    for batch in batches:
+def _coded(tables: int, bits: int):
+    """vec_id, label, embedding (doubles) to codes and buckets; unusable vectors have no dim."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield one(batch)
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, labels, vectors = (batch.column(i) for i in range(3))
         rows = [None if v is None or None in v else np.array(v, np.float64) for v in vectors.to_pylist()]
         good = [
@@ -84,19 +102,21 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             by_dim.setdefault(len(rows[i]), []).append(i)
         for dim, some in by_dim.items():
             held = [(rows[i] + 0.0).tobytes() for i in some]  # + 0.0: one zero only
-            signs, lengths, places = encode(_unit(held))
+            signs, lengths, places = encode(_unit(held), tables, bits)
             packed = np.packbits(signs.reshape(len(some), -1), axis=1)
-            for i, *own in zip(some, held, packed, lengths.astype("<f8"), places.astype("<i4"), strict=True):
+            for i, *own in zip(some, held, packed, lengths.astype("<f8"), places.astype("<i8"), strict=True):
                 dims[i], raw[i] = dim, own[0]
                 codes[i], factors[i], buckets[i] = (x.tobytes() for x in own[1:])
         binaries = [pa.array(x, pa.binary()) for x in (raw, codes, factors, buckets)]
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [ids, labels, pa.array(dims, pa.int32()), *binaries],
             ["vec_id", "label", "dim", "vec", "code", "factors", "buckets"],
         )
 
+    return run
+
 
-def _tiles(threshold: float):
+def _tiles(threshold: float, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, "tile"):
             if rows.num_rows < 2:
@@ -105,7 +125,7 @@ def _tiles(threshold: float):
             ids, copies = rows.column("rep").to_numpy(), rows.column("copies").to_numpy()
             side, low, high = (rows.column(c).to_numpy() for c in ("chunk", "low", "high"))
             unit = _unit(rows.column("vec").to_pylist())
-            places = np.frombuffer(b"".join(rows.column("buckets").to_pylist()), "<i4").reshape(len(ids), TABLES)
+            places = np.frombuffer(b"".join(rows.column("buckets").to_pylist()), "<i8").reshape(len(ids), tables)
             a, b = np.flatnonzero(side == low), np.flatnonzero(side == high)
             if not len(a) or not len(b):
                 continue
@@ -158,9 +178,11 @@ def near_duplicates(
         F.col(embedding).cast("array<double>").alias("embedding"),
     )
     kind = rows.schema["label"].dataType.simpleString()
+    most = rows.filter("label is not null").groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    tables, bits = shape(most, threshold)
     coded = materialise(
         on_workers(rows).mapInArrow(
-            _coded, f"vec_id long, label {kind}, dim int, vec binary, code binary, factors binary, buckets binary"
+            _coded(tables, bits), f"vec_id long, label {kind}, dim int, vec binary, code binary, factors binary, buckets binary"
         ),
         "codes",
     )
@@ -172,7 +194,7 @@ def near_duplicates(
         ),
         "classes",
     )
-    at = F.expr(f"transform(sequence(0, {TABLES - 1}), t -> substring(buckets, 4 * t + 1, 4))")
+    at = F.expr(f"transform(sequence(0, {tables - 1}), t -> substring(buckets, 8 * t + 1, 8))")
     met = classes.select("*", F.posexplode(at).alias("number", "bucket")).withColumn(
         "place", F.xxhash64("label", "dim", "number", "bucket")
     )
@@ -187,7 +209,7 @@ def near_duplicates(
     tiled = dealt.select(tile.alias("tile"), "number", "rep", "copies", "chunk", "low", "high", "vec", "code", "factors", "buckets")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tiled = tiled.repartition(parts, "tile").sortWithinPartitions("tile", "rep")
-    found = materialise(tiled.mapInArrow(_tiles(threshold), "a long, b long, links long"), "links")
+    found = materialise(tiled.mapInArrow(_tiles(threshold, tables), "a long, b long, links long"), "links")
     joined = components(found)
     counts = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     known = (

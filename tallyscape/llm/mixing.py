@@ -24,6 +24,8 @@ BLOCK = 64  # words in a block
 MOST = 3  # no source and no document is taken more often than this
 CHUNK = 1 << 16  # slots numbered in one group
 WEIGHTS = (1, 2, 3)
+PARTS = 1 << 20  # the part of a document that is left over is counted in so many
+PHASE = 1  # of the hash that orders documents by it
 
 
 def sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -83,15 +85,20 @@ def running(df: DataFrame, value: str, within: list[str], group: Column, order:
     return summed.join(offsets, [*within, "piece"]).withColumn("before", F.col("offset") + F.col("inside"))
 
 
+def shuffled(seed: int) -> Column:
+    """A hash of the document that is never negative: 63 bits."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 1)
+
+
 def blocks(sized: DataFrame, targets: DataFrame, seed: int, block: int = BLOCK) -> DataFrame:
     """The words of each document in each block of its source's shuffled stream."""
     n = sized.count()
     pieces = max(1, n // 4096)
     keyed = sized.join(targets.select("source", "no"), sized["source"].eqNullSafe(targets["source"])).select(
-        "row", "no", "size", F.xxhash64(F.lit(seed), F.col("doc_id")).alias("mixed")
+        "row", "no", "size", shuffled(seed).alias("mixed")
     )
-    # The piece is the leading part of the hash, so pieces and hashes give one order.
-    piece = F.floor((F.shiftrightunsigned("mixed", 33)) / F.lit((1 << 31) / pieces))
+    # The piece is the leading part of the hash, so pieces and hashes give one order, however many pieces there are.
+    piece = F.floor((F.shiftrightunsigned("mixed", 32)) / F.lit((1 << 31) / pieces))
     placed = running(keyed, "size", ["no"], piece, ["mixed", "row"]).filter("size > 0")
     first, last = F.expr(f"before div {block}"), F.expr(f"(before + size - 1) div {block}")
     cut = placed.select("row", "no", "before", "size", F.explode(F.sequence(first, last)).alias("block"))
@@ -156,11 +163,21 @@ def mix(
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix itself: rows of ``docs``, all columns as they were, as often as the mix takes them.
 
-    A document of which anything is taken comes once at least, and as often as its taken words fill it to the
-    nearest whole; one of which nothing is taken goes.  Rows without words are not taken.
+    A document comes as often as its taken words fill it.  The parts of documents that are left over are added up,
+    through documents of like size, and one comes once more whenever they make a whole: the words of a source stay
+    near its target, and one whose every word is taken comes for sure.  Rows without words are not taken.
     """
     taken = mix(docs, doc_id, text, source, **options).filter("taken > 0")
-    times = F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size"))).cast("int")
-    counts = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.max(times).alias("_times"))
+    key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("key")
+    parts = taken.select(
+        "doc_id", key, F.expr("taken div size").alias("whole"), F.expr(f"(taken % size) * {PARTS} div size").alias("part"),
+        F.floor(F.log2("size")).cast("long").alias("class"), shuffled(PHASE).alias("mixed"),
+    )
+    # Order by class of size and hash; the piece is the leading part of both.
+    piece = F.col("class") * 4096 + F.shiftrightunsigned("mixed", 51)
+    added = running(parts, "part", ["key"], piece, ["mixed", "doc_id"])
+    times = F.col("whole") + F.expr(f"(before + part + {PARTS // 2}) div {PARTS} - (before + {PARTS // 2}) div {PARTS}")
+    counts = added.select(F.col("doc_id").alias("_id"), times.cast("int").alias("_n")).groupBy("_id").agg(F.max("_n").alias("_times"))
+    counts = counts.filter("_times > 0")
     found = docs.join(counts.hint("shuffle_hash"), docs[doc_id].eqNullSafe(counts["_id"]))
     return found.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])

@@ -112,13 +112,31 @@ def test_bounds_of_codes_hold():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 48))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    signs, factors, _ = embedding_dedup.encode(x)
+    signs, factors, _ = embedding_dedup.encode(x, 12, 11)
     assert (embedding_dedup.upper_bounds(signs, factors, x) >= x @ x.T).mean() > 0.999
     middle = embedding_dedup.upper_bounds(signs, factors, x, sigmas=0)
     off = ~np.eye(200, dtype=bool)
     assert abs((middle - x @ x.T)[off].mean()) < 0.005  # unbiased
 
 
+@pytest.mark.parametrize("n", [100, 5000, 300_000, 10**9])
+def test_vectors_meet_whatever_their_number(n):
+    tables, bits = embedding_dedup.shape(n)
+    assert n / 2**bits <= 0.5 and bits <= 11 + max(0, np.log2(n / 256))
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=x.shape)
+    y -= (y * x).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    near = 0.98 * x + np.sqrt(1 - 0.98**2) * y  # cosine 0.98 exactly
+    a, b = (embedding_dedup.encode(v, tables, bits)[2] for v in (x, near))
+    assert (a == b).any(1).mean() >= 0.99
+    far = np.roll(x, 1, 0)
+    met = (embedding_dedup.encode(far, tables, bits)[2] == a).any(1).mean()
+    assert met <= 0.05
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(none).count() == 0
@@ -171,6 +189,43 @@ def test_mix_of_nothing(spark, no_docs):
     assert [tuple(r) for r in mixing.mix(blank).select("size", "target", "taken").collect()] == [(0, 0.0, 0)] * 2
 
 
+def test_the_stream_has_one_order_for_any_number_of_rows(spark):
+    """Documents of other sources, which change the number of pieces, leave the order of a source as it is."""
+    sized = spark.range(9000).select(
+        F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(3).cast("long").alias("size"), F.col("id").alias("row")
+    )
+    more = spark.range(9000, 15000).select(
+        F.col("id").alias("doc_id"), F.lit("b").alias("source"), F.lit(3).cast("long").alias("size"), F.col("id").alias("row")
+    )
+    targets = spark.createDataFrame([("a", 0), ("b", 1)], "source string, no long")
+
+    def first(rows):
+        found = mixing.blocks(rows, targets, 7).filter("no = 0")
+        return {(r.block, r.row, r.at, r.words) for r in found.collect()}
+
+    assert first(sized) == first(sized.unionByName(more))
+
+
+def test_mixed_documents_keep_to_the_targets(spark):
+    rng = random.Random(3)
+    rows = [(i, "w " * rng.randint(1, 90), rng.choice(["a", "b", "b", "c", None])) for i in range(2500)]
+    rows += [(2500 + i, "w " * 3, "tiny") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    goal = {r.source: r.target for r in mixing.mix(docs).select("source", "target").distinct().collect()}
+    held, times = defaultdict(int), defaultdict(int)
+    out = mixing.mixed_documents(docs).collect()
+    for r in out:
+        held[r.source] += len(words(r.text))
+        times[r.doc_id] += 1
+    for s, want in goal.items():
+        assert abs(held[s] - want) <= max(0.02 * want, 3 * 90), s
+    assert max(times.values()) <= 3
+    taken = {r.doc_id: r.taken / r.size for r in mixing.mix(docs).select("doc_id", "taken", F.col("size").alias("size")).collect()}
+    assert all(abs(times[i] - t) < 1 for i, t in taken.items())
+    again = mixing.mixed_documents(docs.repartition(5)).collect()
+    assert sorted(map(repr, out)) == sorted(map(repr, again))
+
+
 def test_mixed_documents_repeat(docs):
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns and out.filter("doc_id > 30").count() > 0
