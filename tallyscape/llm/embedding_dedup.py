@@ -191,11 +191,12 @@ def near_duplicates(
         usable.groupBy("label", "same").agg(
             F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("dim").alias("dim"),
             *[F.first(c).alias(c) for c in ("vec", "code", "factors", "buckets")],
-        ),
+        ).withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
     at = F.expr(f"transform(sequence(0, {tables - 1}), t -> substring(buckets, 8 * t + 1, 8))")
-    met = classes.select("*", F.posexplode(at).alias("number", "bucket")).withColumn(
+    # Buckets are met without the vectors; those go only where a bucket holds others too.
+    met = classes.select("class", "rep", "label", "dim", F.posexplode(at).alias("number", "bucket")).withColumn(
         "place", F.xxhash64("label", "dim", "number", "bucket")
     )
     crowds = met.groupBy("place").agg(F.count("*").alias("n")).filter("n > 1")
@@ -206,7 +207,9 @@ def near_duplicates(
     dealt = dealt.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
     # Label, length and bucket decide; the hash only names the group.
     tile = F.xxhash64("place", "label", "dim", "number", "bucket", "low", "high")
-    tiled = dealt.select(tile.alias("tile"), "number", "rep", "copies", "chunk", "low", "high", "vec", "code", "factors", "buckets")
+    tiled = dealt.select(tile.alias("tile"), "number", "class", "chunk", "low", "high").join(
+        classes.select("class", "rep", "copies", "vec", "code", "factors", "buckets"), "class"
+    )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tiled = tiled.repartition(parts, "tile").sortWithinPartitions("tile", "rep")
     found = materialise(tiled.mapInArrow(_tiles(threshold, tables), "a long, b long, links long"), "links")
