@@ -95,6 +95,22 @@ def test_byte_strings(docs, no_docs, rows_in, crowd):
     assert column_bwt.drop_repeats(no_docs).count() == 0
 
 
+def test_passages_below_400_bytes_stay_whatever_their_words(spark):
+    """Sixty words of 359 bytes: for the windows of 50 words a repeat, for the strings of 400 bytes none."""
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    passage = " ".join(word(5) for _ in range(60))
+    longer = " ".join(word(7) for _ in range(50))  # 399 bytes
+    surrounded = lambda p: f"{word(90)} {p} {word(90)}"
+    rows = [(1, surrounded(passage)), (2, surrounded(passage)), (3, word(90) + longer + "1"), (4, word(90) + longer + "2")]
+    rows += [(5, word(90) + "0" + longer), (6, word(90) + "0" + longer)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(column_bwt.drop_repeats(docs).collect())
+    assert [r.n_removed for r in got] == [0, 0, 0, 0, 400, 400]
+    assert [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == repeated_bytes(rows)
+    assert [r.n_removed for r in sorted(substring_dedup.drop_repeats(docs).collect())][:2] == [0, 60]
+
+
 def test_automaton_gives_matching_statistics():
     rng = random.Random(5)
     known = [[rng.randrange(3) for _ in range(40)] for _ in range(3)]
