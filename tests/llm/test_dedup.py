@@ -111,6 +111,24 @@ def test_passages_below_400_bytes_stay_whatever_their_words(spark):
     assert [r.n_removed for r in sorted(substring_dedup.drop_repeats(docs).collect())][:2] == [0, 60]
 
 
+def test_anchors_that_one_text_holds_often_are_dealt(spark):
+    """A line between other lines, often in three texts: few classes, many segments."""
+    rng = random.Random(10)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    line = word(420)
+    rows = [(i, "\n".join(x for _ in range(80) for x in (line, word(rng.randint(200, 500))))) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = column_bwt.drop_repeats(docs, crowd=16).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == repeated_bytes(rows)
+    assert all(r.n_spans >= 80 for r in got)
+    places = [(bytes([t]), 7, 1000 * k) for t in range(3) for k in range(400)] + [(b"other", 8, 5)]
+    dealt = column_bwt.deal(spark.createDataFrame(places, "digest binary, anchor long, start long"), 64)
+    tiles = {tuple(r) for r in dealt.groupBy("anchor", "tile", "crowd").count().collect()}
+    assert sum(n for *_, n in tiles) == 1201 and len([t for t in tiles if t[0] == 7]) == 19
+    assert all(crowd == 1200 and n < 128 for anchor, _, crowd, n in tiles if anchor == 7)
+    assert [(crowd, n) for anchor, _, crowd, n in tiles if anchor == 8] == [(0, 1)]
+
+
 def test_automaton_gives_matching_statistics():
     rng = random.Random(5)
     known = [[rng.randrange(3) for _ in range(40)] for _ in range(3)]
